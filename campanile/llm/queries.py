@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campanile.llm import exact_dedup
+from campanile.llm import exact_dedup, simhash
 from campanile.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -38,3 +38,10 @@ FROM d JOIN g USING (text_sha256) JOIN k USING (text_sha256)
 )
 def op8_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.annotate(read_table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
+@query("op2_simhash")
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
+    shown = F.lower(F.lpad(F.hex("fp"), 16, "0"))
+    return found.select(F.col("id").alias("doc_id"), shown.alias("fingerprint"), F.col("component").alias("component_id"))
