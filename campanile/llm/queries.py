@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campanile.llm import exact_dedup, simhash
+from campanile.llm import exact_dedup, packing, simhash
 from campanile.llm.common import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -45,3 +46,8 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(read_table(spark, sf_dir, "documents"))
     shown = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return found.select(F.col("id").alias("doc_id"), shown.alias("fingerprint"), F.col("component").alias("component_id"))
+
+
+@query("op10_packing")
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))

@@ -44,6 +44,7 @@ class PieceTokenizer:
         self.model, self.keep = Tokenizer.from_str(source), keep
         self.kept: dict[bytes, bytes] = {}
         self.older: dict[bytes, bytes] = {}
+        self.narrow = self.model.get_vocab_size() <= 1 << 16
         self.quick = self._quick(json.loads(source))
 
     def _quick(self, spec: dict):
