@@ -39,6 +39,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def if_small(table: DataFrame, rows: int = 100_000) -> DataFrame:
+    """A written table of narrow rows, marked for broadcast if it has at most so many rows (checked here)."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def checksum_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id as text, modulo n; a null id counts as the empty text."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % F.lit(n)

@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campanile.llm import exact_dedup, packing, simhash
+from campanile.llm import exact_dedup, mixing, packing, simhash
 from campanile.llm.common import read_table
 
+#: The mixture of op5 and of the pipeline: integer weights at each level of the tree.
+WEIGHTS = {"domain": {"web": 5, "books": 3, "code": 2}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 1}, "source": {"src0": 8}}
+
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
@@ -51,3 +54,50 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+def domain() -> Column:
+    """The tree's top level: by the last character of a document's source."""
+    last = F.right(F.coalesce("source", F.lit("")), F.lit(1))
+    return F.when(last < "4", "web").when(last < "7", "books").otherwise("code")
+
+
+def mixture_levels() -> dict[str, Column]:
+    return {"domain": domain(), "lang": F.col("lang"), "source": F.col("source")}
+
+
+def mixture_sql(table: str = "documents") -> str:
+    """CTEs up to ``chosen`` (id, domain, lang, source, n, times): the same budgets and prefixes in DuckDB."""
+    names = ["domain", "lang", "source"]
+    case = lambda k: "CASE " + " ".join(f"WHEN l.{k} = '{n}' THEN {w}" for n, w in WEIGHTS[k].items()) + " ELSE 1 END"
+    out = rf"""
+d AS (SELECT doc_id AS id, CASE WHEN right(coalesce(source, ''), 1) < '4' THEN 'web' WHEN right(coalesce(source, ''), 1) < '7' THEN 'books' ELSE 'code' END AS domain,
+             coalesce(lang, '') AS lang, coalesce(source, '') AS source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS n FROM {table}),
+leaves AS (SELECT domain, lang, source, CAST(sum(n) AS BIGINT) AS tokens FROM d GROUP BY ALL),
+b0 AS (SELECT CAST(coalesce(sum(tokens), 0) * 3 // 4 AS BIGINT) AS budget FROM leaves)"""
+    for i, k in enumerate(names):
+        parent, path = names[:i], names[: i + 1]
+        part = "PARTITION BY " + (", ".join(parent) or "0")
+        run = f"{part} ORDER BY room / weight, {k} ROWS BETWEEN UNBOUNDED PRECEDING AND"
+        out += f""",
+c{i} AS (SELECT {", ".join("l." + p for p in path)}, sum(tokens) * 2 AS room, any_value(budget) AS budget, any_value({case(k)}) AS weight
+         FROM leaves l JOIN b{i} b ON {" AND ".join(f"l.{p} = b.{p}" for p in parent) or "true"} GROUP BY {", ".join("l." + p for p in path)}),
+p{i} AS (SELECT *, sum(weight) OVER ({part}) - coalesce(sum(weight) OVER ({run} 1 PRECEDING), 0) AS weight_left, budget - coalesce(sum(room) OVER ({run} 1 PRECEDING), 0) AS budget_left FROM c{i}),
+f{i} AS (SELECT *, min(CASE WHEN room * weight_left <= weight * budget_left THEN 1 ELSE 0 END) OVER ({run} CURRENT ROW) AS is_full FROM p{i}),
+r{i} AS (SELECT *, greatest(budget - coalesce(sum(CASE WHEN is_full = 1 THEN room END) OVER ({part}), 0), 0) AS rest, coalesce(sum(CASE WHEN is_full = 0 THEN weight END) OVER ({part}), 1) AS open_weight,
+                coalesce(sum(CASE WHEN is_full = 0 THEN weight END) OVER ({run} CURRENT ROW), 0) AS up_to FROM f{i}),
+b{i + 1} AS (SELECT {", ".join(path)}, CASE WHEN is_full = 1 THEN room ELSE rest * up_to // open_weight - rest * (up_to - weight) // open_weight END AS budget FROM r{i})"""
+    return out + """,
+m AS (SELECT l.*, b.budget, CASE WHEN tokens > 0 THEN b.budget // tokens ELSE 0 END AS epochs FROM leaves l JOIN b3 b USING (domain, lang, source)),
+k AS (SELECT d.*, m.epochs, m.budget - m.epochs * m.tokens AS rest, md5('11:' || CAST(CAST(m.epochs AS BIGINT) AS VARCHAR) || ':' || coalesce(CAST(d.id AS VARCHAR), '')) AS okey FROM d JOIN m USING (domain, lang, source)),
+s AS (SELECT domain, lang, source, okey, sum(n) AS n FROM k GROUP BY ALL),
+o AS (SELECT *, coalesce(sum(n) OVER (PARTITION BY domain, lang, source ORDER BY okey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM s),
+chosen AS (SELECT k.id, k.domain, k.lang, k.source, k.n, CAST(k.epochs + CASE WHEN o.before < k.rest THEN 1 ELSE 0 END AS BIGINT) AS times FROM k JOIN o USING (domain, lang, source, okey))"""
+
+
+@query(
+    "op5_mixing",
+    "WITH" + mixture_sql() + "\nSELECT id AS doc_id, domain, lang, source, CAST(e AS INTEGER) AS epoch, n AS tokens FROM chosen, LATERAL (SELECT unnest(range(times)) AS e) WHERE times > 0",
+)
+def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.select(read_table(spark, sf_dir, "documents"), mixture_levels(), WEIGHTS).withColumnRenamed("id", "doc_id")
