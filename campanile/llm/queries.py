@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campanile.llm import exact_dedup, mixing, packing, simhash
-from campanile.llm.common import read_table
+from campanile.llm import exact_dedup, language, mixing, packing, secrets, simhash
+from campanile.llm.common import checksum_mod, read_table
 
 #: The mixture of op5 and of the pipeline: integer weights at each level of the tree.
 WEIGHTS = {"domain": {"web": 5, "books": 3, "code": 2}, "lang": {"en": 4, "de": 2, "fr": 2, "es": 1}, "source": {"src0": 8}}
@@ -101,3 +101,22 @@ chosen AS (SELECT k.id, k.domain, k.lang, k.source, k.n, CAST(k.epochs + CASE WH
 )
 def op5_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.select(read_table(spark, sf_dir, "documents"), mixture_levels(), WEIGHTS).withColumnRenamed("id", "doc_id")
+
+
+@query("op6_language")
+def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    held_out = checksum_mod(F.col("doc_id"), 3) == 1
+    model = language.fit(docs.where(~held_out))
+    return language.identify(docs, model, {"doc_id": F.col("doc_id"), "held_out": held_out})
+
+
+@query("op9_secrets")
+def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(read_table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secrets.BASE]))
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+    return found.select(
+        F.col("id").alias("doc_id"), *[count(r.kind) for r in secrets.BASE], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
+    )
