@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campanile.llm import exact_dedup, language, mixing, packing, secrets, simhash
+from campanile.llm import exact_dedup, language, mixing, packing, quality, secrets, simhash, toxicity
 from campanile.llm.common import checksum_mod, read_table
 
 #: The mixture of op5 and of the pipeline: integer weights at each level of the tree.
@@ -120,3 +120,21 @@ def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         F.col("id").alias("doc_id"), *[count(r.kind) for r in secrets.BASE], F.sha2(joined(base), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans")
     )
+
+
+def with_prediction(scored: DataFrame) -> DataFrame:
+    return scored.withColumn("predicted", F.when(F.col("score") >= 0.5, 1).otherwise(0))
+
+
+@query("op1_toxicity")
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    model = toxicity.fit(docs, read_table(spark, sf_dir, "labels"))
+    return with_prediction(toxicity.score(docs, model, {"doc_id": F.col("doc_id"), "held_out": checksum_mod(F.col("doc_id"), 5) == 0}))
+
+
+@query("op7_quality")
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read_table(spark, sf_dir, "documents")
+    field = quality.fit(docs, read_table(spark, sf_dir, "labels"))
+    return with_prediction(quality.score(docs, field, {"doc_id": F.col("doc_id"), "held_out": checksum_mod(F.col("doc_id"), 3) == 1}))
