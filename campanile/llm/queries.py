@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from campanile.llm import exact_dedup, language, mixing, packing, quality, secrets, simhash, toxicity
+from campanile.llm import chat, exact_dedup, language, mixing, packing, quality, secrets, simhash, topk, toxicity
 from campanile.llm.common import checksum_mod, read_table
 
 #: The mixture of op5 and of the pipeline: integer weights at each level of the tree.
@@ -138,3 +138,58 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read_table(spark, sf_dir, "documents")
     field = quality.fit(docs, read_table(spark, sf_dir, "labels"))
     return with_prediction(quality.score(docs, field, {"doc_id": F.col("doc_id"), "held_out": checksum_mod(F.col("doc_id"), 3) == 1}))
+
+
+@query(
+    "op3_topk",
+    """
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * CAST(x AS DOUBLE))) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, CAST(list_dot_product(q.e, c.e) AS BIGINT) AS score FROM v q JOIN v c ON q.vec_id % 100 = 0 AND q.vec_id <> c.vec_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score FROM r WHERE rank <= 10
+""",
+)
+def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search(read_table(spark, sf_dir, "embeddings"), F.col("id") % 100 == 0).withColumnRenamed("id", "vec_id")
+
+
+@query(
+    "op4_chat",
+    r"""
+WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+           UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+e AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos, role, text,
+             length(regexp_replace(role, '([<\[])(\\*)(\||/?s>|</?SYS>>|/?INST\])', '\1\2\\\3', 'g')) +
+             length(regexp_replace(text, '([<\[])(\\*)(\||/?s>|</?SYS>>|/?INST\])', '\1\2\\\3', 'g')) + 23 AS len FROM c),
+n AS (SELECT *, CAST(ceil(len / 4) AS BIGINT) AS n, pos = 1 AND role = 'system' AS is_system FROM e),
+s AS (SELECT *, coalesce(max(CASE WHEN is_system THEN n END) OVER (PARTITION BY conv_id), 0) AS system FROM n),
+b AS (SELECT *, CASE WHEN is_system THEN 0 ELSE n END AS body, greatest(512 - system - 128, 16) / 2 AS half FROM s),
+p AS (SELECT *, floor((sum(body) OVER (PARTITION BY conv_id ORDER BY pos) - body) / half) AS cell, body > half AS long, sum(n) OVER (PARTITION BY conv_id ORDER BY pos) AS ends FROM b),
+f AS (SELECT *, CASE WHEN pos <= CASE WHEN system > 0 THEN 2 ELSE 1 END THEN 0
+                     WHEN cell <> lag(cell) OVER w OR long OR lag(long) OVER w THEN 1 ELSE 0 END AS starts FROM p WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+g AS (SELECT *, sum(starts) OVER (PARTITION BY conv_id ORDER BY pos) AS span FROM f),
+h AS (SELECT *, lead(span, 1) OVER w AS s1, lead(ends - n, 1) OVER w AS b1, lead(span, 2) OVER w AS s2, lead(ends - n, 2) OVER w AS b2 FROM g WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
+t AS (SELECT *, CASE WHEN is_system THEN 0 ELSE CASE WHEN s1 > span AND b1 - (ends - n) <= 128 THEN 1 ELSE 0 END +
+                CASE WHEN s2 > span AND b2 - (ends - n) <= 128 AND NOT coalesce(s2 = s1 AND s1 > span AND b1 - (ends - n) <= 128, false) THEN 1 ELSE 0 END END AS later FROM h)
+SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
+       CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
+       sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY pos), '')) AS loss_sha256,
+       CAST(sum(len * (1 + later + CASE WHEN is_system THEN last_span ELSE 0 END)) AS BIGINT) AS formatted_chars
+FROM (SELECT *, max(span) OVER (PARTITION BY conv_id) AS last_span FROM t) GROUP BY conv_id
+""",
+)
+def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    more = spark.range(2).select(F.lit(-1).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(said).alias("text"))
+    rows = read_table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(more)
+    back = chat.read_back(chat.format_windows(rows))
+    whole = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select(
+        "conv_id",
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(whole, 256).alias("turns_sha256"),
+        F.length("target").cast("long").alias("loss_chars"),
+        F.sha2(F.col("target"), 256).alias("loss_sha256"),
+        "formatted_chars",
+    )
