@@ -109,14 +109,14 @@ def format_windows(
 
 def read_turns(text: Column) -> Column:
     """array<struct<role, text>> of a window's text."""
-    raw = F.slice(F.split(text, r"<\|turn\|>"), 2, 2**31 - 1)
+    raw = F.slice(F.split(text, r"<\|turn\|>"), 2, 2**30)
     parts = lambda t: F.split(F.substring(t, F.lit(1), F.length(t) - len(END)), r"<\|text\|>")
     return F.transform(F.transform(raw, parts), lambda p: F.struct(unescape(p[0]).alias("role"), unescape(p[1]).alias("text")))
 
 
 def read_back(windows: DataFrame) -> DataFrame:
     """What the windows hold of each conversation: conv_id, turns, target (all text under the loss mask), formatted_chars."""
-    own = F.slice(read_turns(F.col("text")), F.col("repeated") + 1, 2**31 - 1)
+    own = F.slice(read_turns(F.col("text")), F.col("repeated") + 1, 2**30)
     under = F.transform("loss_spans", lambda s: unescape(F.substring(F.col("text"), (s["start"] + 1).cast("int"), s["length"].cast("int"))))
     rows = windows.select("conv_id", "window", own.alias("turns"), F.array_join(under, "").alias("target"), F.length("text").cast("long").alias("chars"))
     parts = F.array_sort(F.collect_list(F.struct("window", "turns", "target")))

@@ -54,5 +54,5 @@ def test_few_rows(spark):
     assert found(spark, [(2, [1.0])], query, 3) == set()
     rows = [(2, [1.0]), (3, [1.0]), (4, [-1.0])]
     assert found(spark, rows, query, 3) == brute(rows, query, 3)
-    large = [(1, [3e6, 1.0]), (2, [3e6, 2.0]), (3, [-3e6, 0.5])]
+    large = [(1, [2e6, 1.0]), (2, [2e6, 2.0]), (3, [-2e6, 0.5])]
     assert found(spark, large, query, 1) == brute(large, query, 1)
