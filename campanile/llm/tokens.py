@@ -37,7 +37,7 @@ def byte_letters() -> dict[str, int]:
 class PieceTokenizer:
     """keep: ids are kept of the last so many new pieces, or up to twice as many."""
 
-    def __init__(self, source: str, keep: int = 150_000) -> None:
+    def __init__(self, source: str, keep: int = 300_000) -> None:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -66,21 +66,33 @@ class PieceTokenizer:
         ranks = {bytes([b, 255]): b for b in range(256)} | {bytes([b]): 256 + b for b in range(256)}
         for a, b in merges:
             ranks.setdefault(as_bytes(a)[: -1 if a.endswith(suffix) else None] + as_bytes(b), len(ranks))
-        ids = np.zeros(len(ranks), dtype=np.uint32)
-        for token, i in model["vocab"].items():
-            if not token.startswith("<|") and (r := ranks.get(as_bytes(token))) is not None:
-                ids[r] = i
-        ids = ids.tolist()
+        ids = [model["vocab"].get(t) for t in (*(c + suffix for _, c in sorted((b, c) for c, b in letters.items())), *(c for _, c in sorted((b, c) for c, b in letters.items())))]
+        ids += [model["vocab"].get(a.removesuffix(suffix) + b) for a, b in merges]
+        if None in ids or len(ids) != len(ranks) or ids[512:] != sorted(ids[512:]) or max(ids[:512]) > min(ids[512:]):
+            return None
+        ranks = dict(zip(ranks, ids, strict=True))  # ids rise in the order of merges, so they can be the ranks
         merge = tiktoken.Encoding("piece", pat_str="x", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
         parts = regex.compile(WORD_SPLIT).findall
         special = [t["content"] for t in spec.get("added_tokens", [])]
         odd = re.compile("|".join([f"[^\\x00-{chr(LATIN)}]", "[\\x1c-\\x1f]", *map(re.escape, special)])).search
 
         def quick(piece: str) -> list[int] | None:
-            if odd(piece):
+            if piece.isascii():
+                low = piece.lower()
+                if low.isalpha():
+                    return merge(low.encode() + end)
+                if odd(piece):
+                    return None
+            elif odd(piece):
                 return None
-            low = (piece if piece.isascii() else unicodedata.normalize("NFC", piece)).lower()
-            return [ids[r] for part in parts(low) for r in merge(part.encode() + end)]
+            else:
+                low = unicodedata.normalize("NFC", piece).lower()
+                if low.isalpha():
+                    return merge(low.encode() + end)
+            body = low.rstrip(".,")
+            if body.isalpha():
+                return merge(body.encode() + end) + merge(low[len(body) :].encode() + end)
+            return [i for part in parts(low) for i in merge(part.encode() + end)]
 
         return quick
 
