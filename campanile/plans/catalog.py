@@ -1,10 +1,6 @@
 """Every query over the driver's tables with its DuckDB equivalent."""
 
-from __future__ import annotations
+from campanile.plans import arrays, relations, reports, states, texts
+from campanile.plans.registry import ORACLE, QUERIES
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
-
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-ORACLE: dict[str, str] = {}
+__all__ = ["ORACLE", "QUERIES", "arrays", "relations", "reports", "states", "texts"]
