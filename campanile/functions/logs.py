@@ -113,10 +113,13 @@ def times(text: Column, lines: int = 30) -> Column:
         return out
 
     found = F.filter(F.transform(last, pair), lambda p: p["value"].isNotNull())
-    names = [n for _, n, _ in TIMES]
-    # the last line of a kind wins
-    newest = [F.struct(F.lit(n).alias("key"), F.try_element_at(F.filter(found, lambda p, n=n: p["key"] == n), F.lit(-1))["value"].alias("value")) for n in names]
-    kept = F.map_from_entries(F.filter(F.array(*newest), lambda p: p["value"].isNotNull()))
+
+    def newest(name: str) -> Column:
+        """The last line of a kind wins."""
+        of = F.filter(found, lambda p: p["key"] == name)
+        return F.struct(F.lit(name).alias("key"), F.try_element_at(of, F.lit(-1))["value"].alias("value"))
+
+    kept = F.map_from_entries(F.filter(F.array(*[newest(n) for _, n, _ in TIMES]), lambda p: p["value"].isNotNull()))
     return F.when(_has(last, DONE), kept).otherwise(F.create_map().cast("map<string,double>"))
 
 

@@ -15,7 +15,7 @@ DEFAULT_PATTERN = "job_{orig_index}"
 
 def formula(elements: Column) -> Column:
     """Compact formula of ``;``-joined symbols in first-seen order; ``unknown`` without any."""
-    symbols = F.filter(F.transform(F.split(F.coalesce(elements, F.lit("")), ";"), F.trim), lambda s: s != "")
+    symbols = F.filter(F.transform(F.split(F.coalesce(elements, F.lit("")), ";"), lambda s: F.trim(s)), lambda s: s != "")
     count = lambda e: F.size(F.filter(symbols, lambda s: s == e))
     parts = F.transform(F.array_distinct(symbols), lambda e: F.concat(e, F.when(count(e) > 1, count(e).cast("string")).otherwise("")))
     return F.when(F.size(symbols) > 0, F.array_join(parts, "")).otherwise("unknown")
