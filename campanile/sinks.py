@@ -14,7 +14,7 @@ from campanile.operators.sampling import chunked
 def write_snapshot(jobs: DataFrame, path: str) -> DataFrame:
     """The job table as Parquet by status, and read again: a status filter prunes files."""
     jobs.write.mode("errorifexists").partitionBy("status").parquet(path)
-    return jobs.sparkSession.read.schema(jobs.schema).parquet(path)
+    return jobs.sparkSession.read.schema(jobs.schema).parquet(path).select(jobs.columns)
 
 
 def append_rows(path: str, rows: DataFrame) -> None:
