@@ -45,14 +45,18 @@ def chronic(jobs: DataFrame, thresholds: Sequence[int] = (5, 25)) -> DataFrame:
     return jobs.where("status = 'to_run'").agg(*[count_if(F.coalesce("fail_count", F.lit(0)) >= k).alias(f"at_least_{k}") for k in thresholds])
 
 
-def _stat_columns(columns: Sequence[str]) -> list[Column]:
-    kinds = {"n": F.count, "mean": F.avg, "median": F.median, "min": F.min, "max": F.max, "sum": F.sum}
+def _stat_columns(columns: Sequence[str], exact: bool = True) -> list[Column]:
+    median = F.median if exact else (lambda c: F.percentile_approx(c, 0.5, 10_000))
+    kinds = {"n": F.count, "mean": F.avg, "median": median, "min": F.min, "max": F.max, "sum": F.sum}
     return [f(c).alias(f"{c}_{k}") for c in columns for k, f in kinds.items()]
 
 
-def statistics(df: DataFrame, columns: Sequence[str], by: Sequence[str] = ()) -> DataFrame:
-    """n, mean, median, min, max and sum of each column, NULLs skipped."""
-    return df.groupBy(*by).agg(*_stat_columns(columns))
+def statistics(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), exact: bool = True) -> DataFrame:
+    """n, mean, median, min, max and sum of each column, NULLs skipped.
+
+    An exact median keeps a group's distinct values in memory; for groups of billions take ``exact=False`` (a sketch).
+    """
+    return df.groupBy(*by).agg(*_stat_columns(columns, exact))
 
 
 def metrics_summary(jobs: DataFrame, columns: Sequence[str] = ("final_energy", "max_forces", "scf_steps", "wall_time")) -> DataFrame:
