@@ -72,19 +72,19 @@ def share_out(children: DataFrame, parent: Sequence[str]) -> DataFrame:
 
 
 def leaf_budgets(
-    leaves: DataFrame, budget: DataFrame, levels: Sequence[str], weights: dict[str, dict[str, int]], max_epochs: int, default_weight: int = 1
+    leaves: DataFrame, budget: int, levels: Sequence[str], weights: dict[str, dict[str, int]], max_epochs: int, default_weight: int = 1
 ) -> DataFrame:
-    """leaves (levels, tokens) with ``budget``; budget: one row and column of that name."""
+    """leaves (levels, tokens) with ``budget``, their parts of the whole mixture's tokens."""
     rooms = leaves.withColumn("room", F.col("tokens") * max_epochs)
-    given = budget.select(F.lit(0).alias("root"), F.col("budget").cast("long").alias("budget"))
-    path: list[str] = ["root"]
-    rooms = rooms.withColumn("root", F.lit(0))
+    path: list[str] = []
+    given = None
     for level in levels:
-        children = rooms.groupBy(*path, level).agg(F.sum("room").alias("room")).join(given, path)
+        children = rooms.groupBy(*path, level).agg(F.sum("room").alias("room"))
+        children = children.join(given, path) if given is not None else children.withColumn("budget", F.lit(budget).cast("long"))
         children = children.withColumn("name", F.col(level)).withColumn("weight", _weight(level, weights.get(level, {}), default_weight))
         path = [*path, level]
         given = share_out(children, path[:-1]).select(*path, F.col("share").alias("budget"))
-    return leaves.join(given.drop("root"), list(levels))
+    return leaves.join(given, list(levels))
 
 
 def choose(
@@ -110,8 +110,8 @@ def choose(
     rows = written(rows, "counts")
     leaves = rows.groupBy(*names).agg(F.sum("n").alias("tokens"))
     top, bottom = budget_share
-    total = leaves.agg(F.expr(f"coalesce(sum(tokens), 0) * {int(top)} div {int(bottom)}").alias("budget"))
-    held = leaf_budgets(leaves, total, names, weights, max_epochs)
+    total = leaves.agg(F.sum("tokens")).first()[0] or 0
+    held = leaf_budgets(leaves, total * top // bottom, names, weights, max_epochs)
     held = held.withColumn("epochs", F.when(F.col("tokens") > 0, F.expr("budget div tokens")).otherwise(F.lit(0)))
     held = written(held.withColumn("rest", F.col("budget") - F.col("epochs") * F.col("tokens")), "leaves")
     key = order_key(seed, F.col("epochs"), F.col("id"))
