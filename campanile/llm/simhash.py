@@ -111,19 +111,31 @@ def _codes(fp: np.ndarray) -> np.ndarray:
     return ((fp | high) & even) | ((fp & high & even) << np.uint64(1))
 
 
-class _Forest:
-    def __init__(self, n: int) -> None:
-        self.up = list(range(n))
+_AT_ONCE = 1 << 21
+_TRIED = 64
 
-    def root(self, x: int) -> int:
-        while self.up[x] != x:
-            self.up[x] = x = self.up[self.up[x]]
-        return x
+
+def _neighbours(code: np.ndarray, fp: np.ndarray, rows: np.ndarray, distance: int) -> np.ndarray:
+    """Of each row (a position) whether another one lies within distance; a block of rows against all at a time."""
+    out = np.zeros(len(rows), dtype=bool)
+    step = max(1, _AT_ONCE // len(code))
+    for at in range(0, len(rows), step):
+        part = rows[at : at + step]
+        i, j = np.nonzero(_count(code[part][:, None] ^ code) <= distance)
+        i, j = i[part[i] != j], j[part[i] != j]
+        out[at + i[_count(fp[part[i]] ^ fp[j]) <= distance]] = True
+    return out
 
 
 def link_cell(fp: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
-    """Positions of links that connect whatever is within distance in one cell: at most len(fp) - 1 of them."""
+    """Positions of links that connect whatever is within distance in one cell: at most len(fp) - 1 of them.
+
+    Where a few rows tried show that most have no neighbour at all, those without one are found in blocks first.
+    """
     code, rest, pivots, groups, links = _codes(fp), np.arange(len(fp)), [], [], []
+    tried = rest[:: max(1, len(rest) // _TRIED)]
+    if _neighbours(code, fp, tried, distance).mean() < 0.5:
+        rest = rest[_neighbours(code, fp, rest, distance)]
     while len(rest):
         p = rest[0]
         near = np.flatnonzero(_count(code[rest] ^ code[p]) <= distance)
@@ -133,24 +145,26 @@ def link_cell(fp: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]
         pivots.append(p)
         groups.append(group)
         rest = np.delete(rest, near)
-    forest, centres, large = _Forest(len(pivots)), fp[np.array(pivots, dtype=np.int64)], np.array([len(g) > 1 for g in groups])
+    centres, large = fp[np.array(pivots, dtype=np.int64)], np.array([len(g) > 1 for g in groups], dtype=bool)
+    part = np.arange(len(pivots))  # which groups are known to be linked
     for i, group in enumerate(groups):
-        reach = _count(centres[i + 1 :] ^ centres[i]) <= 3 * distance
-        for j in np.flatnonzero(reach & (large[i] | large[i + 1 :])) + i + 1:
-            a, b = forest.root(i), forest.root(int(j))
-            if a != b and (hit := _first_link(fp, group, groups[j], distance)):
+        reach = (part != part[i]) & (large | large[i])
+        reach[: i + 1] = False
+        at = np.flatnonzero(reach)
+        for j in at[_count(centres[at] ^ centres[i]) <= 3 * distance].tolist():
+            if part[j] != part[i] and (hit := _first_link(fp, group, groups[j], distance)):
                 links.append(hit)
-                forest.up[max(a, b)] = min(a, b)
+                part[part == part[j]] = part[i]
     return links
 
 
 def _first_link(fp: np.ndarray, one: np.ndarray, two: np.ndarray, distance: int) -> tuple[int, int] | None:
-    if len(one) > len(two):
-        one, two = two, one
-    for x in one:
-        hit = np.flatnonzero(_count(fp[two] ^ fp[x]) <= distance)
-        if len(hit):
-            return int(x), int(two[hit[0]])
+    step = max(1, _AT_ONCE // len(two))
+    for at in range(0, len(one), step):
+        near = _count(fp[one[at : at + step]][:, None] ^ fp[two]) <= distance
+        if near.any():
+            i, j = divmod(int(near.argmax()), len(two))
+            return int(one[at + i]), int(two[j])
     return None
 
 
@@ -233,7 +247,9 @@ def links(points: DataFrame, distance: int = DISTANCE, groups: int | None = None
     else:
         cells = cells.withColumn("part", F.lit(0).cast("long"))
     cells = cells.select(F.col("grid").cast("long").alias("grid"), "key", "part", "vertex", "fp")
-    dealt = cells.repartition("grid", "key", "part").sortWithinPartitions("grid", "key", "part")
+    # few bytes, much work: dealt out by rows, not by size
+    tasks = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows * len(masks) // 100_000)
+    dealt = cells.repartition(tasks, "grid", "key", "part").sortWithinPartitions("grid", "key", "part")
     return dealt.mapInArrow(_stream(distance), "a long, b long")
 
 
