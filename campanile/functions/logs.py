@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -20,9 +22,10 @@ def all_lines(text: Column) -> Column:
 
 
 def tail(text: Column, n: int = 10) -> Column:
-    """The last n lines, all where there are fewer."""
-    parts = all_lines(text)
-    return F.slice(parts, F.greatest(F.size(parts) - n + 1, F.lit(1)), n)
+    """The last n lines, all where there are fewer. The text is searched from its end only."""
+    parts = F.split(F.substring_index(F.coalesce(text, F.lit("")), "\n", -(n + 1)), "\r?\n")
+    whole = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
+    return F.slice(whole, F.greatest(F.size(whole) - n + 1, F.lit(1)), n)
 
 
 def _has(lines: Column, what: str) -> Column:
@@ -57,8 +60,9 @@ def failure_reason(text: Column, lines: int = 10) -> Column:
 
 def numbers_at_end(text: Column, mark: str) -> Column:
     """The last tokens, where they are numbers, of the lines that contain a mark."""
-    hit = F.filter(all_lines(text), lambda x: x.contains(mark))
-    return F.filter(F.transform(hit, lambda x: F.element_at(tokens(x), -1).try_cast("double")), lambda v: v.isNotNull())
+    rest = F.regexp_extract_all(text, F.lit(re.escape(mark) + r"([^\n]*)"), F.lit(1))
+    number = lambda x: F.when(x.rlike(r"\s\S+\s*$"), F.element_at(tokens(x), -1).try_cast("double"))
+    return F.filter(F.transform(rest, number), lambda v: v.isNotNull())
 
 
 def last_number(text: Column, mark: str) -> Column:
