@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -21,11 +22,20 @@ def all_lines(text: Column) -> Column:
     return F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with the value computed once, however often it is used."""
+    return F.get(F.transform(F.array(value), lambda v: use(v)), 0)
+
+
 def tail(text: Column, n: int = 10) -> Column:
     """The last n lines, all where there are fewer. The text is searched from its end only."""
-    parts = F.split(F.substring_index(F.coalesce(text, F.lit("")), "\n", -(n + 1)), "\r?\n")
-    whole = F.when(F.element_at(parts, -1) == "", F.slice(parts, 1, F.size(parts) - 1)).otherwise(parts)
-    return F.slice(whole, F.greatest(F.size(whole) - n + 1, F.lit(1)), n)
+
+    def last(parts: Column) -> Column:
+        size = F.size(parts) - F.when(F.element_at(parts, -1) == "", 1).otherwise(0)
+        return F.slice(parts, F.greatest(size - n + 1, F.lit(1)), F.least(size, F.lit(n)))
+
+    lines = let(F.split(F.substring_index(F.coalesce(text, F.lit("")), "\n", -(n + 1)), "\n"), last)
+    return F.transform(lines, lambda x: F.rtrim(x, F.lit("\r")))
 
 
 def _has(lines: Column, what: str) -> Column:
@@ -42,20 +52,14 @@ def stale(mtime: Column, now: Column, hours: float) -> Column:
 
 def termination(text: Column, mtime: Column, now: Column, hours: float = 6, lines: int = 10) -> Column:
     """1 done, -1 failed, -2 stale, 0 running or nothing there. A success line beats any failure line among the last ones."""
-    last = tail(text, lines)
-    return (
-        F.when(F.size(last) == 0, 0)
-        .when(_has(last, DONE), 1)
-        .when(F.exists(last, _failed), -1)
-        .when(F.coalesce(stale(mtime, now, hours), F.lit(False)), -2)
-        .otherwise(0)
-    )
+    aged = F.when(F.coalesce(stale(mtime, now, hours), F.lit(False)), -2).otherwise(0)
+    return let(tail(text, lines), lambda last: F.when(F.size(last) == 0, 0).when(_has(last, DONE), 1).when(F.exists(last, _failed), -1).otherwise(aged))
 
 
 def failure_reason(text: Column, lines: int = 10) -> Column:
     """The first failure line among the last ones, stripped; NULL on success or without one."""
-    last = tail(text, lines)
-    return F.when(~_has(last, DONE), F.regexp_replace(F.try_element_at(F.filter(last, _failed), F.lit(1)), r"^\s+|\s+$", ""))
+    first = lambda last: F.regexp_replace(F.try_element_at(F.filter(last, _failed), F.lit(1)), r"^\s+|\s+$", "")
+    return let(tail(text, lines), lambda last: F.when(~_has(last, DONE), first(last)))
 
 
 def numbers_at_end(text: Column, mark: str) -> Column:
