@@ -112,7 +112,6 @@ def last_cycle(text: Column) -> Column:
 
 def times(text: Column, lines: int = 30) -> Column:
     """map of timing names to seconds, from the last lines of a finished output; empty otherwise."""
-    last = tail(text, lines)
 
     def pair(line: Column) -> Column:
         out = F.lit(None).cast("struct<key:string,value:double>")
@@ -120,15 +119,17 @@ def times(text: Column, lines: int = 30) -> Column:
             out = F.when(line.contains(mark), F.struct(F.lit(name).alias("key"), F.try_element_at(tokens(line), F.lit(at)).try_cast("double").alias("value"))).otherwise(out)
         return out
 
-    found = F.filter(F.transform(last, pair), lambda p: p["value"].isNotNull())
-
-    def newest(name: str) -> Column:
+    def newest(found: Column, name: str) -> Column:
         """The last line of a kind wins."""
         of = F.filter(found, lambda p: p["key"] == name)
         return F.struct(F.lit(name).alias("key"), F.try_element_at(of, F.lit(-1))["value"].alias("value"))
 
-    kept = F.map_from_entries(F.filter(F.array(*[newest(n) for _, n, _ in TIMES]), lambda p: p["value"].isNotNull()))
-    return F.when(_has(last, DONE), kept).otherwise(F.create_map().cast("map<string,double>"))
+    def kept(found: Column) -> Column:
+        return F.map_from_entries(F.filter(F.array(*[newest(found, n) for _, n, _ in TIMES]), lambda p: p["value"].isNotNull()))
+
+    none = F.create_map().cast("map<string,double>")
+    pairs = lambda last: F.filter(F.transform(last, pair), lambda p: p["value"].isNotNull())
+    return let(tail(text, lines), lambda last: F.when(_has(last, DONE), let(pairs(last), kept)).otherwise(none))
 
 
 def population(text: Column, kind: str = "MULLIKEN", which: str = "last") -> Column:
@@ -152,21 +153,25 @@ def population(text: Column, kind: str = "MULLIKEN", which: str = "last") -> Col
 
 def metrics(text: Column, mtime: Column, now: Column, hours: float = 6, lines: int = 30) -> Column:
     """All facts of one output in one pass over its text."""
-    code = termination(text, mtime, now, hours, lines)
-    t = times(text, lines)
-    return F.struct(
-        max_forces(text).alias("max_forces"),
-        scf_steps(text).alias("scf_steps"),
-        final_energy(text).alias("final_energy"),
-        processes(text).alias("nprocs"),
-        F.try_element_at(t, F.lit("Total")).alias("wall_time"),
-        t.alias("time_dict"),
-        code.alias("termination_status"),
-        (code == 1).alias("success"),
-        (code == -2).alias("is_timeout"),
-        population(text, "MULLIKEN").alias("mulliken"),
-        population(text, "LOEWDIN").alias("loewdin"),
-    ).cast(METRICS)
+
+    def facts(ended: Column) -> Column:
+        code, t = ended["code"], ended["times"]
+        return F.struct(
+            max_forces(text).alias("max_forces"),
+            scf_steps(text).alias("scf_steps"),
+            final_energy(text).alias("final_energy"),
+            processes(text).alias("nprocs"),
+            F.try_element_at(t, F.lit("Total")).alias("wall_time"),
+            t.alias("time_dict"),
+            code.alias("termination_status"),
+            (code == 1).alias("success"),
+            (code == -2).alias("is_timeout"),
+            population(text, "MULLIKEN").alias("mulliken"),
+            population(text, "LOEWDIN").alias("loewdin"),
+        )
+
+    ended = F.struct(termination(text, mtime, now, hours, lines).alias("code"), times(text, lines).alias("times"))
+    return let(ended, facts).cast(METRICS)
 
 
 def gradient_file(text: Column) -> Column:
