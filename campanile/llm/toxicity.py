@@ -11,8 +11,9 @@ passage of ``PASSAGE`` words and its best single words. A logistic curve, fitted
 turns them into 0 to 1.
 
 Labels are learned from at most ``per_class`` rows of either class, those with the smallest hashes of doc_id; the shared
-counts cover all documents. The model holds at most ``MOST_GRAMS`` character 5-grams, those of labelled rows and the
-most frequent first; any other is scored by lower orders.
+counts cover all documents. The counts are tables that grow with the documents, and so is what is made of them: each
+5-gram's log-likelihood ratio comes from joins of the orders, and a text meets the ratios of its 5-grams in a block of
+rows, so no process holds more than the 5-grams of one block of about ``BLOCK`` characters.
 
 Defined cases: words are runs of letters, lower-cased; a null text, or one without words, has all-zero features.
 Repeated rows count each time; of several labels of one id the greatest counts. Without labels of both classes every
@@ -21,18 +22,19 @@ score is 0.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from campanile.llm.common import checksum_mod, split_large
+from campanile.llm.common import checksum_mod, split_large, written
 from campanile.llm.language import _letters
 
 PER_CLASS = 20_000
-MOST_GRAMS = 1_000_000
+BLOCK = 1 << 26
 PASSAGE = 8
 ORDER = 5
 FEATURES = 7
@@ -41,6 +43,10 @@ _BITS = 12
 _MASK = (1 << _BITS) - 1
 _BLANK = 32
 _AT_ONCE = 1 << 20
+#: Characters of the rows that are compressed together.
+_CHUNK = 1 << 20
+#: Distinct 5-grams a task sums up before it passes them on.
+_HELD = 1 << 21
 #: Of these checksums (modulo 5) come the counts, of the last the curve; 0 is held out.
 COUNTED, FITTED = (1, 2, 3), 4
 
@@ -51,8 +57,9 @@ def codes(text: str) -> tuple[np.ndarray, np.ndarray]:
     A 5-gram is four characters of context (zeros before the blank that starts a word) and the character itself.
     """
     c = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    c = np.where(_letters()[c], c & _MASK, _BLANK).astype(np.int64)
-    c[(c == 0)] = 1
+    letter = _letters()[c]
+    c = np.where(letter, c & _MASK, _BLANK).astype(np.int64)
+    c[letter & ((c == 0) | (c == _BLANK))] = 1
     c = c[np.r_[True, (c[1:] != _BLANK) | (c[:-1] != _BLANK)]]
     if len(c) < 3:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
@@ -65,6 +72,12 @@ def codes(text: str) -> tuple[np.ndarray, np.ndarray]:
     return out, np.r_[0, np.flatnonzero(c[1:-1] == _BLANK) + 1]
 
 
+def words_of(text: str) -> list[str]:
+    """The words of a text, in order: those that ``codes`` takes apart."""
+    c = np.frombuffer(text.lower().encode("utf-32-le", "surrogatepass"), dtype="<u4")
+    return np.where(_letters()[c], c, _BLANK).astype("<u4").tobytes().decode("utf-32-le").split()
+
+
 def _sum_by(keys: np.ndarray, values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Distinct keys, ascending, and the sum of values of each."""
     if not len(keys):
@@ -103,7 +116,7 @@ class _Level:
 
 
 class Model:
-    """toxic, ordinary: counts of the grams in either class; every gram of the corpus is in ``grams``."""
+    """The model of a few grams in memory, to hold ``ratios`` against. toxic, ordinary: counts of the grams in either class."""
 
     def __init__(self, grams: np.ndarray, toxic: np.ndarray, ordinary: np.ndarray) -> None:
         order = np.argsort(grams)
@@ -116,8 +129,6 @@ class Model:
             longer = longer[(longer >> _BITS * (k + 1)) > 0]
             self.lower.append(_Level(*_sum_by(longer & mask, np.ones(len(longer)))))
         self.letters = max(2, len(np.unique(grams & _MASK)))
-        self.known, self.llr = grams, self.compare(grams).astype(np.float32)
-        self.curve = np.zeros(0)
 
     def compare(self, grams: np.ndarray) -> np.ndarray:
         """Log-likelihood under the toxic model less that under the ordinary one."""
@@ -131,25 +142,88 @@ class Model:
         toxic, ordinary = (t.probability(grams, shared) for t in self.tops)
         return np.log(toxic) - np.log(ordinary)
 
-    def features(self, text: str | None) -> np.ndarray:
-        """Of the differences: length-normalised over the text, the best passage and the best word; the mean of the best
-        1, 3 and 6 words; and the logarithm of the number of words, against which chance finds are held."""
-        grams, words = codes(text) if text else (np.zeros(0, np.int64),) * 2
-        if not len(grams):
-            return np.zeros(FEATURES)
-        at, there = _find(self.known, grams)
-        llr = self.llr[at].astype(float) if len(self.llr) else np.zeros(len(grams))
-        if not there.all():
-            llr[~there] = self.compare(grams[~there])
-        sums, lengths = np.add.reduceat(llr, words), np.diff(np.r_[words, len(grams)])
-        run = np.r_[0, np.cumsum(sums)], np.r_[0, np.cumsum(lengths)]
-        n = min(PASSAGE, len(words))
-        passages = (run[0][n:] - run[0][:-n]) / (run[1][n:] - run[1][:-n])
-        best = np.sort(np.r_[sums, np.zeros(6)])[: -7 : -1]
-        return np.array([sums.sum() / len(grams), passages.max(), (sums / lengths).max(), best[0], best[:3].mean(), best.mean(), np.log1p(len(words))])
-
-    def fit_curve(self, x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> None:
-        """A logistic curve over the features, by Newton's method."""
+
+def _discount(once: int, twice: int) -> float:
+    return once / (once + 2 * twice) if once and twice else 0.5
+
+
+def _smoothed(count: str, context: list[Column], d: float | Column) -> tuple[Column, Column]:
+    """Of a count: its discounted share of its context, and what the context leaves to the next lower order.
+
+    The rows of a context differ in one character, so a window holds at most as many as there are characters.
+    """
+    w = Window.partitionBy(*context)
+    total, kinds = F.sum(count).over(w), F.sum(F.when(F.col(count) > 0, 1).otherwise(0)).over(w)
+    return F.when(total > 0, F.greatest(F.col(count) - d, F.lit(0.0)) / total).otherwise(0.0), F.when(total > 0, d * kinds / total).otherwise(1.0)
+
+
+def ratios(grams: DataFrame) -> DataFrame:
+    """(gram, llr): log-likelihood under the toxic model less that under the ordinary one, of every row of grams.
+
+    grams is a written table (gram, toxic, ordinary, known) of distinct grams; those not known are asked for only.
+    """
+    low = lambda c, n: c.bitwiseAND(F.lit((1 << _BITS * n) - 1))  # noqa: E731  its last n characters
+    gram = F.col("gram")
+    # every lower order of every gram: its last k + 1 characters after one more, which makes one continuation
+    steps = F.explode(F.array(*[F.struct(F.lit(k).alias("k"), low(gram, k + 2).alias("longer")) for k in range(ORDER - 1)])).alias("s")
+    longer = grams.select("known", steps).select("s.*", "known").where(F.expr(f"shiftright(longer, {_BITS} * (k + 1)) > 0"))
+    longer = longer.groupBy("k", "longer").agg(F.max("known").alias("known"))
+    last = F.expr(f"longer & (shiftleft(1L, {_BITS} * (k + 1)) - 1)").alias("gram")
+    orders = written(longer.groupBy("k", last).agg(F.sum("known").alias("n")), "toxicity-orders")
+    number = lambda c: F.count(F.when(c, 1))
+    seen = {r.k: r for r in orders.groupBy("k").agg(number(F.col("n") == 1).alias("a"), number(F.col("n") == 2).alias("b"), number(F.col("n") > 0).alias("c")).collect()}  # a row an order
+    own = grams.agg(*[number(F.col(c) == n).alias(f"{c}{n}") for c in ("toxic", "ordinary") for n in (1, 2)], *[F.sum(c).alias(c) for c in ("toxic", "ordinary")]).first()
+    if not own.toxic or not own.ordinary:
+        return grams.select("gram", F.lit(0.0).alias("llr"))
+
+    # a gram's probability by its order k, from that of its end in the order below; a gram's end is shared by at most as many
+    # grams as there are characters
+    below, every = None, []
+    for k in range(ORDER - 1):
+        if k not in seen:
+            break
+        share, left = _smoothed("n", [F.shiftright("gram", _BITS)], _discount(seen[k].a, seen[k].b))
+        level = orders.where(F.col("k") == k).select("gram", share.alias("share"), left.alias("left"))
+        if below is None:
+            level = level.select("gram", (F.col("share") + F.col("left") / max(2, seen[0].c)).alias("p"))
+        else:
+            ends = below.select(F.col("gram").alias("end"), F.col("p").alias("q"))
+            if k == 1:  # at most as many rows as characters
+                ends = F.broadcast(ends)
+            level = level.join(ends, low(gram, k) == F.col("end")).select("gram", (F.col("share") + F.col("left") * F.col("q")).alias("p"))
+        below = level
+        every.append(level.select(F.lit(k).alias("k"), F.col("gram").alias("end"), "p"))
+    shared = every[0]
+    for level in every[1:]:
+        shared = shared.union(level)
+    parts = {c: _smoothed(c, [F.shiftright("gram", _BITS)], _discount(own[c + "1"], own[c + "2"])) for c in ("toxic", "ordinary")}
+    top = grams.select("gram", *[x.alias(f"{c}_{name}") for c, two in parts.items() for name, x in zip(("share", "left"), two, strict=True)])
+    reach = sum((F.when(F.shiftright("gram", _BITS * k) > 0, 1).otherwise(0) for k in range(2, ORDER)), F.lit(0))
+    top = top.withColumn("k", reach).withColumn("end", F.expr(f"gram & (shiftleft(1L, {_BITS} * (k + 1)) - 1)"))
+    p = lambda c: F.log(F.col(f"{c}_share") + F.col(f"{c}_left") * F.col("p"))
+    return top.join(shared, ["k", "end"]).select("gram", (p("toxic") - p("ordinary")).alias("llr"))
+
+
+def features(sums: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Of the differences, summed over each word of a text: length-normalised over the text, the best passage and the best
+    word; the mean of the best 1, 3 and 6 words; and the logarithm of the number of words, against which chance finds are held."""
+    if not len(sums):
+        return np.zeros(FEATURES)
+    run = np.r_[0, np.cumsum(sums)], np.r_[0, np.cumsum(lengths)]
+    n = min(PASSAGE, len(sums))
+    passages = (run[0][n:] - run[0][:-n]) / (run[1][n:] - run[1][:-n])
+    best = np.sort(np.r_[sums, np.zeros(6)])[: -7 : -1]
+    return np.array([sums.sum() / lengths.sum(), passages.max(), (sums / lengths).max(), best[0], best[:3].mean(), best.mean(), np.log1p(len(sums))])
+
+
+class Curve:
+    """A logistic curve over the features."""
+
+    def __init__(self) -> None:
+        self.weights = np.zeros(0)
+
+    def fit(self, x: np.ndarray, y: np.ndarray, ridge: float = 1e-3) -> None:
+        """By Newton's method."""
         if len(set(y.tolist())) < 2:
             return
         self.mean, self.spread = x.mean(0), x.std(0) + 1e-9
@@ -159,13 +233,122 @@ class Model:
             p = 1 / (1 + np.exp(-np.clip(a @ w, -30, 30)))
             h = (a * (p * (1 - p))[:, None]).T @ a + ridge * len(a) * np.eye(len(w))
             w -= np.linalg.solve(h, a.T @ (p - y) + ridge * len(a) * w)
-        self.curve = w
+        self.weights = w
+
+    def score(self, x: np.ndarray) -> float:
+        x = (x - self.mean) / self.spread
+        return float(1 / (1 + np.exp(-np.clip(x @ self.weights[:-1] + self.weights[-1], -30, 30))))
+
+
+class Fitted:
+    """grams: the written counts of every 5-gram; known: their written ratios; and the curve."""
+
+    def __init__(self, grams: DataFrame) -> None:
+        self.grams, self.known, self.curve = grams, written(ratios(grams), "toxicity-ratios"), Curve()
+
+    def ratios_of(self, pairs: DataFrame) -> DataFrame:
+        """(block, gram, llr) of pairs (block, gram); a gram that was never counted is judged by the lower orders."""
+        found = written(pairs.join(self.known, "gram", "left").select("block", "gram", "llr"), "toxicity-found")
+        new = found.where("llr is null")
+        if new.isEmpty():
+            return found
+        zero = F.lit(0).cast("long")
+        asked = new.select("gram").distinct().select("gram", zero.alias("toxic"), zero.alias("ordinary"), F.lit(0).alias("known"))
+        more = ratios(written(self.grams.unionByName(asked), "toxicity-asked"))
+        return found.where("llr is not null").unionByName(new.drop("llr").join(more, "gram").select("block", "gram", "llr"))
+
+
+_BLOCKS = pa.schema([("block", pa.int64()), ("kind", pa.int32()), ("gram", pa.int64()), ("chunk", pa.binary())])
+#: What a row of a block holds: a gram, the words (one row), or a chunk of rows whose texts are numbers of words.
+_GRAM, _WORDS, _ROWS = range(3)
+
+
+def _packed(block: int, kind: int, table: pa.RecordBatch) -> pa.RecordBatch:
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+        out.write_batch(table)
+    return pa.RecordBatch.from_arrays([pa.array([block]), pa.array([kind], pa.int32()), pa.nulls(1, pa.int64()), pa.array([sink.getvalue().to_pybytes()], pa.binary())], schema=_BLOCKS)
+
 
-    def score(self, text: str | None) -> float:
-        if not len(self.curve):
-            return 0.0
-        x = (self.features(text) - self.mean) / self.spread
-        return float(1 / (1 + np.exp(-np.clip(x @ self.curve[:-1] + self.curve[-1], -30, 30))))
+def _unpacked(chunk: pa.Scalar) -> pa.RecordBatch:
+    return next(iter(pa.ipc.open_stream(chunk.as_buffer())))
+
+
+def _in_blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows whose last column is a text, as blocks: their distinct grams and words, and the rows in compressed chunks.
+
+    In a chunk, the text is four columns: the first, second, third and fourth bytes of the numbers of its words.
+    """
+
+    def slices(batch: pa.RecordBatch) -> Iterator[tuple[pa.RecordBatch, list[str], int]]:
+        texts, at, size = [t or "" for t in batch.column(batch.num_columns - 1).to_pylist()], 0, 0
+        for i, text in enumerate(texts):
+            size += len(text)
+            if size >= _CHUNK or i + 1 == len(texts):
+                yield batch.slice(at, i + 1 - at), texts[at : i + 1], size
+                at, size = i + 1, 0
+
+    def rest() -> Iterator[pa.RecordBatch]:
+        if vocabulary:
+            yield _packed(block, _WORDS, pa.RecordBatch.from_arrays([pa.array(list(vocabulary), pa.large_string())], ["word"]))
+            keys = np.unique(codes(" ".join(vocabulary))[0])
+            n = len(keys)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(n, block, np.int64)), pa.array(np.full(n, _GRAM, np.int32)), pa.array(keys), pa.nulls(n, pa.binary())], schema=_BLOCKS)
+
+    block, vocabulary, whole = TaskContext.get().partitionId() << 32, {}, 0
+    for batch in batches:
+        for part, texts, size in slices(batch):
+            numbers = [np.array([vocabulary.setdefault(w, len(vocabulary)) for w in words_of(t)], dtype="<u4").view(np.uint8).reshape(-1, 4) for t in texts]
+            planes = [pa.array([x[:, k].tobytes() for x in numbers], pa.large_binary()) for k in range(4)]
+            yield _packed(block, _ROWS, pa.RecordBatch.from_arrays([*part.columns[:-1], *planes], [*part.schema.names[:-1], *(f"__{k}" for k in range(4))]))
+            whole += size
+            if whole >= BLOCK:
+                yield from rest()
+                block, vocabulary, whole = block + 1, {}, 0
+    yield from rest()
+
+
+def _per_text(rows: DataFrame, model: Fitted, value: Callable[[np.ndarray], np.ndarray], names: list[str]) -> DataFrame:
+    """rows (any columns, then __text) with ``value`` of a text's features, as columns of doubles, in the text's place.
+
+    Rows are written as blocks of those that lie together. A block's distinct grams find their ratios by a join, then
+    ratios, words and rows of a block meet in a task of their own, in this order, the rows chunk by chunk.
+    """
+    kept = written(rows.mapInArrow(_in_blocks, "block long, kind int, gram long, chunk binary"), "toxicity-rows")
+    packed = kept.where(F.col("kind") > _GRAM).select("block", "kind", "chunk")
+    numbers = sorted(r.block for r in packed.select("block").distinct().collect())  # one for each BLOCK characters, and one for each task
+    place = F.broadcast(rows.sparkSession.createDataFrame(list(zip(numbers, range(len(numbers)), strict=True)), "block long, place int"))
+    found = model.ratios_of(kept.where(F.col("kind") == _GRAM).select("block", "gram")).withColumn("kind", F.lit(_GRAM))
+    both = found.unionByName(packed, allowMissingColumns=True).join(place, "block").select("place", "gram", "llr", "kind", "chunk")
+    dealt = both.repartitionById(max(1, len(numbers)), F.col("place")).sortWithinPartitions("kind", "gram").select("gram", "llr", "kind", "chunk")
+    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]), *(f"{n} double" for n in names)])
+    kept_names = rows.columns[:-1]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, llr, sums, lengths = [], [], np.zeros(0), np.zeros(0)
+
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            x, first = np.zeros((batch.num_rows, len(names))), batch.num_columns - 4
+            for i, planes in enumerate(zip(*(batch.column(first + k).to_pylist() for k in range(4)), strict=True)):
+                at = np.stack([np.frombuffer(b, np.uint8) for b in planes], axis=1).view("<u4").ravel()
+                x[i] = value(features(sums[at], lengths[at]))
+            return pa.RecordBatch.from_arrays([*batch.columns[:first], *(pa.array(np.ascontiguousarray(x[:, k])) for k in range(len(names)))], [*kept_names, *names])
+
+        for batch in batches:
+            grams = batch.filter(batch.column(0).is_valid())
+            keys.append(grams.column(0).to_numpy())
+            llr.append(grams.column(1).to_numpy())
+            for kind, chunk in zip(batch.column(2).to_pylist(), batch.column(3), strict=True):
+                if kind == _WORDS:
+                    asked, words = codes(" ".join(_unpacked(chunk).column(0).to_pylist()))
+                    at, there = _find(np.concatenate(keys), asked)
+                    if not there.all():
+                        raise ValueError("a block has words without ratios")
+                    sums, lengths = np.add.reduceat(np.concatenate(llr)[at], words), np.diff(np.r_[words, len(asked)])
+                elif kind == _ROWS:
+                    yield one(_unpacked(chunk))
+
+    return dealt.mapInArrow(run, schema)
 
 
 def labelled_sample(labels: DataFrame, id_col: str, label_col: str, held_out: Column, per_class: int) -> DataFrame:
@@ -196,7 +379,7 @@ def gram_counts(texts: DataFrame) -> DataFrame:
                 size += len(text or "")
                 if size > _AT_ONCE:
                     (keys, sums), size = flush(), 0
-            if len(keys) > 2 * MOST_GRAMS:
+            if len(keys) > _HELD:
                 yield _as_batch(keys, sums)
                 keys, sums = keys[:0], sums[:0]
         yield _as_batch(*flush())
@@ -208,46 +391,23 @@ def _as_batch(keys: np.ndarray, sums: np.ndarray) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(keys), *(pa.array(np.ascontiguousarray(sums[:, k])) for k in range(3))], ["gram", "toxic", "ordinary", "n"])
 
 
-def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS, most: int = MOST_GRAMS) -> Model:
+def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", per_class: int = PER_CLASS) -> Fitted:
     """The two models and the curve. Labels of rows whose checksum modulo 5 is 0 are never looked at."""
     part = checksum_mod(F.col(id_col), 5)
     sample = labelled_sample(labels, id_col, label_col, part == 0, per_class)
     rows = docs.select(F.col(id_col).alias("sample_id"), F.col(text_col).cast("string").alias("text"), part.alias("part"))
     marked = rows.join(sample, "sample_id", "left")
     counted = marked.select("text", F.when(F.col("part").isin(*COUNTED), F.col("y")).alias("y"))
-    top = gram_counts(counted).orderBy(F.desc(F.col("toxic") + F.col("ordinary")), F.desc("n"), "gram").limit(most)
-    got = top.select("gram", "toxic", "ordinary").toArrow()  # at most `most` rows of three integers
-    model = Model(*(got.column(k).to_numpy() for k in range(3)))
-    fitted = rows.where(F.col("part") == FITTED).join(sample, "sample_id").select("text", "y")
-    sent = docs.sparkSession.sparkContext.broadcast(model)
-
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = np.array([sent.value.features(t) for t in batch.column(0).to_pylist()])
-        return pa.RecordBatch.from_arrays([batch.column(1).cast(pa.int32()), *(pa.array(x[:, k]) for k in range(FEATURES))], ["y", *(f"x{k}" for k in range(FEATURES))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield from split_large(batch, one)
-
-    points = fitted.mapInArrow(run, "y int" + "".join(f", x{k} double" for k in range(FEATURES))).toArrow()  # at most 2 * per_class rows
-    model.fit_curve(np.stack([points.column(k).to_numpy() for k in range(1, FEATURES + 1)], axis=1), points.column(0).to_numpy())
+    model = Fitted(written(gram_counts(counted).select("gram", "toxic", "ordinary", F.lit(1).alias("known")), "toxicity-grams"))
+    fitted = rows.where(F.col("part") == FITTED).join(sample, "sample_id").select("y", F.col("text").alias("__text"))
+    points = _per_text(fitted, model, lambda x: x, [f"x{k}" for k in range(FEATURES)]).toArrow()  # at most 2 * per_class rows
+    model.curve.fit(np.stack([points.column(k).to_numpy() for k in range(1, FEATURES + 1)], axis=1), points.column(0).to_numpy())
     return model
 
 
-def score(docs: DataFrame, model: Model, keep: dict[str, Column], text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, model: Fitted, keep: dict[str, Column], text_col: str = "text") -> DataFrame:
     """The ``keep`` columns and score of each row."""
-    sent, names = docs.sparkSession.sparkContext.broadcast(model), [*keep, "score"]
-    rows = docs.select(*[c.alias(k) for k, c in keep.items()], F.col(text_col).cast("string").alias("__text"))
-    schema = ", ".join([*(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema.fields[:-1]), "score double"])
-
-    def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-        got = [sent.value.score(t) for t in batch.column(batch.num_columns - 1).to_pylist()]
-        return pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(got, pa.float64())], names)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if batch.num_rows:
-                yield from split_large(batch, one)
-
-    return rows.mapInArrow(run, schema)
+    rows, curve = docs.select(*[c.alias(k) for k, c in keep.items()], F.col(text_col).cast("string").alias("__text")), model.curve
+    if not len(curve.weights):
+        return rows.select(*keep, F.lit(0.0).alias("score"))
+    return _per_text(rows, model, curve.score, ["score"])

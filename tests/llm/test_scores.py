@@ -105,3 +105,36 @@ def test_gradient_equals_differences():
         step = np.zeros_like(theta)
         step[k] = 1e-5
         assert abs((likelihood(theta + step) - likelihood(theta - step)) / 2e-5 - got[k]) < 1e-3
+
+
+def test_ratios_of_every_gram(spark):
+    """Tables and the model in memory agree, on grams that were counted and on others; none is left out."""
+    rng = np.random.default_rng(4)
+    text = [" ".join("".join(rng.choice(list("abcdefgh"), rng.integers(1, 8))) for _ in range(150)) for _ in range(4)]
+    docs = spark.createDataFrame([(text[0], 1), (text[1], 0), (text[2], None)], "text string, y int")
+    grams = toxicity.gram_counts(docs).select("gram", "toxic", "ordinary", F.lit(1).alias("known"))
+    got = grams.toPandas()
+    every = np.unique(toxicity.codes(" ".join(text[:3]))[0])
+    assert set(got.gram) == set(every.tolist())
+    model = toxicity.Model(*(got[c].to_numpy() for c in ("gram", "toxic", "ordinary")))
+    asked = np.unique(toxicity.codes(text[3])[0])
+    assert len(np.setdiff1d(asked, every)) > 100
+    pairs = spark.createDataFrame([(7, int(g)) for g in np.r_[asked, every]], "block long, gram long")
+    found = toxicity.Fitted(toxicity.written(grams, "grams")).ratios_of(pairs).toPandas()
+    assert len(found) == len(asked) + len(every) and set(found.block) == {7}
+    assert np.allclose(found.llr, model.compare(found.gram.to_numpy()), rtol=1e-9, atol=1e-9)
+
+
+def test_no_gram_is_dropped_past_a_million(spark):
+    """A table of more than 1,000,000 grams keeps all of them, with exact continuation counts."""
+    n = 1_100_000
+    letters = lambda k: (F.lit(97) + F.pmod(F.floor(F.col("id") / F.lit(26**k)), F.lit(26))).cast("long")
+    gram = sum((letters(k) * F.lit(1 << toxicity._BITS * k) for k in range(5)), F.lit(0)).cast("long")
+    zero = lambda x: F.when(F.col("id") % 2 == x, 1).otherwise(0).cast("long")
+    grams = spark.range(n).select(gram.alias("gram"), zero(0).alias("toxic"), zero(1).alias("ordinary"), F.lit(1).alias("known"))
+    model = toxicity.Fitted(toxicity.written(grams, "grams"))
+    assert model.known.count() == n and model.known.select("gram").distinct().count() == n
+    got = grams.select("gram", "toxic", "ordinary").toPandas()
+    held = toxicity.Model(*(got[c].to_numpy() for c in ("gram", "toxic", "ordinary")))
+    some = model.known.where("gram % 997 = 0").toPandas()
+    assert len(some) > 500 and np.allclose(some.llr, held.compare(some.gram.to_numpy()), rtol=1e-9, atol=1e-9)
