@@ -23,6 +23,7 @@ score is 0.
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +39,7 @@ BLOCK = 1 << 26
 PASSAGE = 8
 ORDER = 5
 FEATURES = 7
-#: Characters are told apart by their lowest bits; all letters below 4096 differ.
+#: A letter below 4096 is a character; any other is two, a lead and a trail, which no letter below 4096 is. So all differ.
 _BITS = 12
 _MASK = (1 << _BITS) - 1
 _BLANK = 32
@@ -51,15 +52,31 @@ _HELD = 1 << 21
 COUNTED, FITTED = (1, 2, 3), 4
 
 
+@cache
+def _pairs() -> tuple[np.ndarray, np.ndarray]:
+    """Leads and trails: codes below 4096 that are no letters, a pair for every letter there is."""
+    letters = np.flatnonzero(_letters())
+    free = np.setdiff1d(np.arange(1, _MASK + 1), np.r_[letters, _BLANK])
+    trails, leads = free[-1024:], free[:-1024][: letters[-1] // 1024 + 1]
+    if len(leads) <= letters[-1] // 1024:
+        raise ValueError("too few codes for all letters")
+    return leads, trails
+
+
 def codes(text: str) -> tuple[np.ndarray, np.ndarray]:
     """The 5-gram of every letter and word end, and where each word starts among them.
 
     A 5-gram is four characters of context (zeros before the blank that starts a word) and the character itself.
     """
     c = np.frombuffer(f" {text.lower()} ".encode("utf-32-le", "surrogatepass"), dtype="<u4")
-    letter = _letters()[c]
-    c = np.where(letter, c & _MASK, _BLANK).astype(np.int64)
-    c[letter & ((c == 0) | (c == _BLANK))] = 1
+    c = np.where(_letters()[c], c, _BLANK).astype(np.int64)
+    if c.max() > _MASK:
+        leads, trails = _pairs()
+        high = c > _MASK
+        at = np.repeat(np.arange(len(c)), 1 + high)
+        second = np.r_[False, at[1:] == at[:-1]]
+        wide, c = high[at], c[at]
+        c = np.where(wide, np.where(second, trails[c % len(trails)], leads[c // len(trails)]), c)
     c = c[np.r_[True, (c[1:] != _BLANK) | (c[:-1] != _BLANK)]]
     if len(c) < 3:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)

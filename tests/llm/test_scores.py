@@ -138,3 +138,16 @@ def test_no_gram_is_dropped_past_a_million(spark):
     held = toxicity.Model(*(got[c].to_numpy() for c in ("gram", "toxic", "ordinary")))
     some = model.known.where("gram % 997 = 0").toPandas()
     assert len(some) > 500 and np.allclose(some.llr, held.compare(some.gram.to_numpy()), rtol=1e-9, atol=1e-9)
+
+
+def test_letters_stay_different():
+    """Each letter has codes of its own, so far ones are not taken for those with the same lowest bits, nor for a blank."""
+    from campanile.llm.language import _letters
+
+    every = [chr(c) for c in np.flatnonzero(_letters())]
+    every = [c for c in every if c.lower() == c]
+    assert len({toxicity.codes(c)[0].tobytes() for c in every}) == len(every) > 100_000
+    grams, words = toxicity.codes("a\u5061b \u5020\u5020 \u5061")
+    assert len(words) == 3 and len(toxicity.words_of("a\u5061b \u5020\u5020 \u5061")) == 3
+    assert np.diff(np.r_[words, len(grams)]).tolist() == [5, 5, 3]
+    assert ((grams & toxicity._MASK) > 0).all()
