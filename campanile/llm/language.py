@@ -144,10 +144,15 @@ def identify(docs: DataFrame, model: Profiles, keep: dict[str, Column], text_col
 
 
 def keep_identified(docs: DataFrame, model: Profiles, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
-    """docs, same columns, without the rows whose language is ``und`` or whose score is below min_score."""
+    """docs, same columns, without the rows whose language is ``und`` or whose score is below min_score.
+
+    Without any profile nothing is known of languages: only the rows without a letter go.
+    """
     sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+        if not sent.value.langs:
+            return batch.filter(pa.array([len(grams(t or "")) > 0 for t in batch.column(at).to_pylist()], pa.bool_()))
         lang, score = _predictions(sent, batch.column(at))
         return batch.filter(pa.array([x != UNKNOWN and s >= min_score for x, s in zip(lang, score, strict=True)], pa.bool_()))
 

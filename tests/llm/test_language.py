@@ -47,3 +47,10 @@ def test_odd_rows(spark):
     nothing = language.fit(table.limit(0))
     assert language.identify(table.limit(0), nothing, {"doc_id": F.col("doc_id")}).count() == 0
     assert {r.lang_pred for r in language.identify(table, nothing, {"doc_id": F.col("doc_id")}).collect()} == {"und"}
+
+
+def test_rows_stay_when_no_language_is_named(spark):
+    rows = docs(spark, [(1, "plain words", None), (2, "42 !", None), (3, None, None), (4, "", None), (5, "élan", None)])
+    model = language.fit(rows)
+    assert not model.langs
+    assert sorted(r.doc_id for r in language.keep_identified(rows, model).collect()) == [1, 5]
