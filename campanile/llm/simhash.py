@@ -14,16 +14,24 @@ A cell yields a spanning forest of its links, never all pairs: a pivot takes all
 pivots' groups are compared only if the triangle inequality allows a link and none is known yet. A cell of more
 than ``cell_rows`` is dealt out as pairs of blocks, so one hot cell never lands in one task.
 
+``near_duplicates`` links fingerprints of word shingles within so many bits, and misses none. ``drop_near_copies`` is for
+five-word shingles with a Jaccard similarity of 0.8 or more, which is further than a grid can reach without a miss: its
+candidates are fingerprints of two-word shingles within ``FAR`` bits, searched in enough grids that a pair at ``TYPICAL``
+bits has a chance of ``MISS`` at most to be missed (one within 4 bits has none), and 256 bits of a fingerprint over the set of
+five-word shingles, a measure of that similarity, decide: ``WIDE`` bits at most.
+
 Defined cases: a null text counts as empty; a text without words has fingerprint zero and is linked like any
-other; fewer words than a shingle make one shingle. Rows with a null id take no part in ids of components (their
-own id stays null) but are fingerprinted. Rows that repeat an id are one vertex each time they have the same
-fingerprint. An empty table gives an empty result.
+other; fewer words than a shingle make one shingle; texts of any length are read whole. Rows with a null id are linked
+like others, but name no component: the component of such rows alone is null, and none of them is dropped. A row's vertex is its
+fingerprint, so rows that repeat an id with another text are rows of their own, and rows that repeat both are treated
+alike: all stay or all go. Other columns, whatever their names, are passed on untouched. An empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+import random
+from collections.abc import Iterator, Sequence
 from itertools import combinations
 
 import numpy as np
@@ -31,7 +39,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from campanile.llm.common import map_arrow, written
+from campanile.llm.common import map_arrow, split_large, written
 from campanile.llm.components import components
 
 SHINGLE = 4
@@ -42,6 +50,10 @@ SEGMENTS = 32
 SEGMENT_BITS = -math.log2(0.375)
 EVEN = 0x5555555555555555
 _CHUNK = 1 << 16
+#: Of near copies: bits of the two-word fingerprints, bits of the 256 of the five-word ones, and what the search may miss.
+FAR, WIDE, TYPICAL, MISS = 10, 44, 8, 0.11
+_WORDS = ("w0", "w1", "w2", "w3")
+_BITS_OF = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(float)
 
 
 def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
@@ -57,23 +69,108 @@ def fingerprint(text: bytes, shingle: int = SHINGLE) -> int:
     ends = np.cumsum(np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 1)
     starts = [0, *ends[: len(words) - shingle].tolist()]
     stops = (ends[shingle - 1 :] - 1).tolist()
-    n, counts = len(starts), np.zeros(64, dtype=np.int64)
+    n, counts = len(starts), np.zeros(64)
     for at in range(0, n, _CHUNK):
         h = np.fromiter((xxh64_intdigest(joined[s:e], 42) for s, e in zip(starts[at : at + _CHUNK], stops[at : at + _CHUNK], strict=True)), dtype="<u8")
-        bits = np.unpackbits(h.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
-        counts += bits.sum(axis=0, dtype=np.uint32)
-    return int(np.packbits(2 * counts > n, bitorder="little").view("<u8")[0])
+        counts += bit_counts(h)
+    return int(_majority(counts, n)[0])
+
+
+def bit_counts(h: np.ndarray) -> np.ndarray:
+    """How many of the hashes have each of the bits set; h: one 64-bit word or more in a row."""
+    octets = h.astype("<u8", copy=False).view(np.uint8).reshape(len(h), -1)
+    wide = octets.shape[1]
+    if len(h) < 64:
+        return np.unpackbits(octets, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    held = np.bincount((octets + np.arange(0, 256 * wide, 256)).ravel(), minlength=256 * wide).reshape(wide, 256)
+    return (held.astype(float) @ _BITS_OF).ravel()
+
+
+def _majority(counts: np.ndarray, n: int) -> np.ndarray:
+    return np.packbits(2 * counts > n, bitorder="little").view("<u8")
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    """A bijection of 64-bit integers that spreads every bit (fixed values: the finaliser of splitmix64)."""
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+class WordHashes:
+    """XXH64 of words, kept for the last ``keep`` new words."""
+
+    def __init__(self, keep: int = 1 << 19) -> None:
+        self.kept: dict[bytes, int] = {}
+        self.keep = keep
+
+    def of(self, words: list[bytes]) -> np.ndarray:
+        from xxhash import xxh64_intdigest
+
+        kept = self.kept
+        if len(kept) > self.keep:
+            kept.clear()
+        for w in set(words).difference(kept):
+            kept[w] = xxh64_intdigest(w, 42)
+        return np.fromiter(map(kept.__getitem__, words), dtype=np.uint64, count=len(words))
+
+
+#: Odd multipliers of a shingle's words, by place, and what tells the four wide words apart (fixed values of a seeded generator).
+_PLACES = np.random.default_rng(5).integers(1 << 63, size=8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SALTS = np.random.default_rng(6).integers(1 << 63, size=len(_WORDS), dtype=np.uint64)
+
+
+def _shingles(words: np.ndarray, size: int) -> np.ndarray:
+    """A hash of each run of ``size`` words; fewer words make one run."""
+    size = min(size, len(words))
+    out = np.zeros(len(words) - size + 1, dtype=np.uint64)
+    for k in range(size):
+        out += words[k : len(words) - size + 1 + k] * _PLACES[k]
+    return _mixed(out)
+
+
+def sketch(text: bytes, hashes: WordHashes) -> np.ndarray:
+    """The fingerprint of two-word shingles, repeats included, and four of the set of five-word shingles."""
+    words = text.lower().split()
+    if not words:
+        return np.zeros(1 + len(_WORDS), dtype=np.uint64)
+    known = hashes.of(words)
+    two, five = _shingles(known, 2), np.unique(_shingles(known, 5))
+    counts = sum((bit_counts(_mixed(five[at : at + _CHUNK, None] ^ _SALTS)) for at in range(0, len(five), _CHUNK)), np.zeros(64 * len(_WORDS)))
+    return np.r_[_majority(bit_counts(two), len(two)), _majority(counts, len(five))]
+
+
+def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(id, of_text, fp, w0 ... w3) for each row; of_text is a hash of the text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            got = np.stack([sketch(t, hashes) for t in batch.column(2).cast(pa.large_binary()).to_pylist()]).view(np.int64)
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.ascontiguousarray(got[:, k])) for k in range(5))], ["id", "of_text", "fp", *_WORDS])
+
+        for batch in batches:
+            if batch.num_rows:
+                yield from split_large(batch, one)
+
+    return _keyed(docs, id_col, text_col).mapInArrow(run, "id long, of_text long, fp long, " + ", ".join(f"{w} long" for w in _WORDS))
+
+
+def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(text).alias("of_text"), text.alias("text"))
 
 
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE) -> DataFrame:
-    """(id, fp) for each row; fp is the fingerprint as a signed long."""
+    """(id, of_text, fp) for each row; fp is the fingerprint as a signed long, of_text a hash of the text."""
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        texts = batch.column(1).cast(pa.large_binary()).to_pylist()
-        fp = np.fromiter((fingerprint(t or b"", shingle) for t in texts), dtype=np.uint64, count=len(texts)).view(np.int64)
-        return pa.RecordBatch.from_arrays([batch.column(0), pa.array(fp)], ["id", "fp"])
+        texts = batch.column(2).cast(pa.large_binary()).to_pylist()
+        fp = np.fromiter((fingerprint(t, shingle) for t in texts), dtype=np.uint64, count=len(texts)).view(np.int64)
+        return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(fp)], ["id", "of_text", "fp"])
 
-    return map_arrow(docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")), run, "id long, fp long")
+    return map_arrow(_keyed(docs, id_col, text_col), run, "id long, of_text long, fp long")
 
 
 def thermometer(fp: Column) -> Column:
@@ -83,19 +180,40 @@ def thermometer(fp: Column) -> Column:
     return low.bitwiseOR(F.shiftleft(full, 1))
 
 
-def grids(groups: int, distance: int = DISTANCE) -> list[int]:
-    """Masks of the choices of ``groups - distance`` of the groups, as signed longs."""
+def grids(groups: int, distance: int = DISTANCE, partitions: int = 1) -> list[int]:
+    """Masks of the choices of ``groups - distance`` of the groups, as signed longs; each partition groups the segments anew."""
     edges = [round(i * SEGMENTS / groups) for i in range(groups + 1)]
-    masks = [((1 << 2 * (b - a)) - 1) << 2 * a for a, b in zip(edges, edges[1:], strict=False)]
-    whole = (sum(m) for m in combinations(masks, groups - distance))
-    return [m - (1 << 64) if m >= 1 << 63 else m for m in whole]
+    out = []
+    for r in range(partitions):
+        order = list(range(SEGMENTS))
+        if r:
+            random.Random(r).shuffle(order)
+        masks = [sum(3 << 2 * s for s in order[a:b]) for a, b in zip(edges, edges[1:], strict=False)]
+        out += [sum(m) for m in combinations(masks, groups - distance)]
+    return [m - (1 << 64) if m >= 1 << 63 else m for m in out]
 
 
-def best_groups(rows: int, distance: int = DISTANCE, row_cost: float = 400.0) -> int:
+def chance(groups: int, distance: int, bits: int) -> float:
+    """That a pair ``bits`` apart shares a cell of some grid: its bits fall into at most ``distance`` of the groups."""
+    touched = np.zeros(groups + 1)
+    touched[0] = 1
+    for _ in range(bits):
+        j = np.arange(groups + 1)
+        touched = touched * j / groups + np.r_[0, touched[:-1] * (groups - j[:-1]) / groups]
+    return float(touched[: distance + 1].sum())
+
+
+def partitions_for(groups: int, distance: int, typical: int, miss: float) -> int:
+    """Partitions of the segments, so that a pair ``typical`` bits apart is missed with a chance of ``miss`` at most."""
+    found = chance(groups, distance, typical)
+    return 1 if found >= 1 - miss else math.ceil(math.log(miss) / math.log1p(-found))
+
+
+def best_groups(rows: int, distance: int = DISTANCE, row_cost: float = 400.0, typical: int = 0, miss: float = MISS) -> int:
     """The number of groups with the least expected work; row_cost: of a row in a cell, in comparisons."""
 
     def work(g: int) -> float:
-        tables = math.comb(g, distance)
+        tables = math.comb(g, distance) * partitions_for(g, distance, typical, miss)
         return tables * rows * (row_cost + rows / 2 / 2 ** (SEGMENT_BITS * SEGMENTS * (g - distance) / g))
 
     return min(range(distance + 1, 2 * distance + 5), key=work)
@@ -115,93 +233,122 @@ _AT_ONCE = 1 << 21
 _TRIED = 64
 
 
-def _neighbours(code: np.ndarray, fp: np.ndarray, rows: np.ndarray, distance: int) -> np.ndarray:
-    """Of each row (a position) whether another one lies within distance; a block of rows against all at a time."""
-    out = np.zeros(len(rows), dtype=bool)
-    step = max(1, _AT_ONCE // len(code))
-    for at in range(0, len(rows), step):
-        part = rows[at : at + step]
-        i, j = np.nonzero(_count(code[part][:, None] ^ code) <= distance)
-        i, j = i[part[i] != j], j[part[i] != j]
-        out[at + i[_count(fp[part[i]] ^ fp[j]) <= distance]] = True
-    return out
+class _Rows:
+    """Rows of a cell: fingerprints, their embedding, and wide fingerprints if those decide too."""
+
+    def __init__(self, fp: np.ndarray, distance: int, wide: np.ndarray | None = None, wide_distance: int = 0) -> None:
+        self.fp, self.code, self.distance, self.wide, self.wide_distance = fp, _codes(fp), distance, wide, wide_distance
+
+    def linked(self, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+        """Of pairs within the lower bound, whether they are linked."""
+        out = _count(self.fp[i] ^ self.fp[j]) <= self.distance
+        if self.wide is not None:
+            at = np.flatnonzero(out)
+            i, j = np.broadcast_to(i, out.shape)[at], np.broadcast_to(j, out.shape)[at]
+            out[at] = _count(self.wide[i] ^ self.wide[j]).sum(axis=1, dtype=np.int64) <= self.wide_distance
+        return out
+
+    def near(self, i: int, j: np.ndarray) -> np.ndarray:
+        """Those of the rows j that are linked to i."""
+        j = j[_count(self.code[j] ^ self.code[i]) <= self.distance]
+        return j[self.linked(np.full(len(j), i), j)]
+
+    def pairs(self, one: np.ndarray, two: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """Linked pairs of a row of one and a row of two, a block at a time."""
+        step = max(1, _AT_ONCE // max(1, len(two)))
+        for at in range(0, len(one), step):
+            i, j = np.nonzero(_count(self.code[one[at : at + step]][:, None] ^ self.code[two]) <= self.distance)
+            i, j = one[at + i], two[j]
+            hit = self.linked(i, j)
+            yield i[hit], j[hit]
 
 
-def link_cell(fp: np.ndarray, distance: int = DISTANCE) -> list[tuple[int, int]]:
-    """Positions of links that connect whatever is within distance in one cell: at most len(fp) - 1 of them.
+def _neighbours(rows: _Rows, some: np.ndarray) -> np.ndarray:
+    """Of each of some rows whether another one is linked to it; a block of rows against all at a time."""
+    out = np.zeros(len(rows.fp), dtype=bool)
+    for i, j in rows.pairs(some, np.arange(len(rows.fp))):
+        out[i[i != j]] = True
+    return out[some]
+
+
+def link_cell(rows: _Rows) -> list[tuple[int, int]]:
+    """Positions of links that connect whatever is linked in one cell: at most one less than there are rows.
 
     Where a few rows tried show that most have no neighbour at all, those without one are found in blocks first.
     """
-    code, rest, pivots, groups, links = _codes(fp), np.arange(len(fp)), [], [], []
+    rest, alive, pivots, groups, links = np.arange(len(rows.fp)), np.ones(len(rows.fp), dtype=bool), [], [], []
     tried = rest[:: max(1, len(rest) // _TRIED)]
-    if _neighbours(code, fp, tried, distance).mean() < 0.5:
-        rest = rest[_neighbours(code, fp, rest, distance)]
+    if _neighbours(rows, tried).mean() < 0.5:
+        rest = rest[_neighbours(rows, rest)]
     while len(rest):
         p = rest[0]
-        near = np.flatnonzero(_count(code[rest] ^ code[p]) <= distance)
-        near = near[_count(fp[rest[near]] ^ fp[p]) <= distance]
-        group = rest[near]
-        links += [(int(p), int(q)) for q in group[1:]]
+        group = rows.near(p, rest)
+        links += [(int(p), int(q)) for q in group[group != p]]
         pivots.append(p)
         groups.append(group)
-        rest = np.delete(rest, near)
-    centres, large = fp[np.array(pivots, dtype=np.int64)], np.array([len(g) > 1 for g in groups], dtype=bool)
+        alive[group] = False
+        rest = rest[alive[rest]]
+    centres, sizes = rows.fp[np.array(pivots, dtype=np.int64)], np.array([len(g) for g in groups])
     part = np.arange(len(pivots))  # which groups are known to be linked
+    of_row = np.zeros(len(rows.fp), dtype=np.int64)
     for i, group in enumerate(groups):
-        reach = (part != part[i]) & (large | large[i])
+        of_row[group] = i
+    for i, group in enumerate(groups):
+        reach = (part != part[i]) & ((sizes > 1) | (sizes[i] > 1))
         reach[: i + 1] = False
         at = np.flatnonzero(reach)
-        for j in at[_count(centres[at] ^ centres[i]) <= 3 * distance].tolist():
-            if part[j] != part[i] and (hit := _first_link(fp, group, groups[j], distance)):
-                links.append(hit)
-                part[part == part[j]] = part[i]
+        at = at[_count(centres[at] ^ centres[i]) <= 3 * rows.distance]
+        together = len(group) * sizes[at].sum() <= _AT_ONCE
+        blocks = [groups[j] for j in at]
+        for others in [np.concatenate(blocks)] if together and blocks else blocks:
+            if not together and part[of_row[others[0]]] == part[i]:
+                continue
+            for a, b in rows.pairs(group, others):
+                of, first = np.unique(of_row[b], return_index=True)
+                for j, k in zip(of.tolist(), first.tolist(), strict=True):
+                    if part[j] != part[i]:
+                        links.append((int(a[k]), int(b[k])))
+                        part[part == part[j]] = part[i]
+                if len(of) and not together:
+                    break
     return links
 
 
-def _first_link(fp: np.ndarray, one: np.ndarray, two: np.ndarray, distance: int) -> tuple[int, int] | None:
-    step = max(1, _AT_ONCE // len(two))
-    for at in range(0, len(one), step):
-        near = _count(fp[one[at : at + step]][:, None] ^ fp[two]) <= distance
-        if near.any():
-            i, j = divmod(int(near.argmax()), len(two))
-            return int(one[at + i]), int(two[j])
-    return None
-
-
 _SMALL = 48
 
 
-def _links_of(cells: np.ndarray, ids: np.ndarray, fp: np.ndarray, distance: int) -> tuple[list, list]:
+def _links_of(cells: np.ndarray, ids: np.ndarray, every: _Rows) -> tuple[list, list]:
     """Links in sorted cells; small cells are compared all at once, row against the k-th next."""
     a, b = [], []
     starts = np.flatnonzero(np.r_[True, cells[1:] != cells[:-1]])
     sizes = np.diff(np.r_[starts, len(cells)])
     size_of = np.repeat(sizes, sizes)
     left = np.repeat(starts + sizes, sizes) - np.arange(len(cells))  # rows up to the cell's end
-    code = _codes(fp)
     for k in range(1, min(_SMALL, int(sizes.max(initial=1)) - 1) + 1):
         at = np.flatnonzero((left > k) & (size_of <= _SMALL))
-        at = at[_count(code[at] ^ code[at + k]) <= distance]
-        at = at[_count(fp[at] ^ fp[at + k]) <= distance]
+        at = at[_count(every.code[at] ^ every.code[at + k]) <= every.distance]
+        at = at[every.linked(at, at + k)]
         a.append(ids[at])
         b.append(ids[at + k])
     for s, n in zip(starts[sizes > _SMALL], sizes[sizes > _SMALL], strict=True):
-        if found := link_cell(fp[s : s + n], distance):
+        cell = _Rows(every.fp[s : s + n], every.distance, None if every.wide is None else every.wide[s : s + n], every.wide_distance)
+        if found := link_cell(cell):
             one, two = np.array(found, dtype=np.int64).T
             a.append(ids[s + one])
             b.append(ids[s + two])
     return a, b
 
 
-def _stream(distance: int):
+def _stream(distance: int, wide_distance: int | None):
     """Over batches sorted by cell (grid, key, part): links of every cell; a cell may span batches."""
 
     def emit(cell: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        grid, key, part, ids, fp = cell
+        grid, key, part, ids, fp = cell[:5]
         both = np.zeros(len(key), dtype=[("g", np.int64), ("k", np.int64), ("p", np.int64)])
         both["g"], both["k"], both["p"] = grid, key, part
         number = np.cumsum(np.r_[False, both[1:] != both[:-1]])
-        a, b = _links_of(number, ids, fp.view(np.uint64), distance)
+        wide = None if wide_distance is None else np.stack(cell[5:], axis=1).view(np.uint64)
+        a, b = _links_of(number, ids, _Rows(fp.view(np.uint64), distance, wide, wide_distance or 0))
         if a := [x for x in a if len(x)]:
             b = [x for x in b if len(x)]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], ["a", "b"])
@@ -211,7 +358,7 @@ def _stream(distance: int):
         for batch in batches:
             if not batch.num_rows:
                 continue
-            new = [batch.column(i).to_numpy(zero_copy_only=False) for i in range(5)]
+            new = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
             held = [np.concatenate(x) for x in zip(held, new, strict=True)] if held else new
             last = (held[0] == held[0][-1]) & (held[1] == held[1][-1]) & (held[2] == held[2][-1])
             cut = len(last) - int(last[::-1].argmin()) if not last.all() else 0
@@ -224,14 +371,17 @@ def _stream(distance: int):
     return run
 
 
-def links(points: DataFrame, distance: int = DISTANCE, groups: int | None = None, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """(a, b): links between the vertices of points (vertex long, fp long, distinct fps) that connect all within distance."""
+def links(
+    points: DataFrame, distance: int = DISTANCE, masks: Sequence[int] = (), cell_rows: int = CELL_ROWS, wide: Sequence[str] = (), wide_distance: int | None = None
+) -> DataFrame:
+    """(a, b): links between the vertices of points (vertex long, fp long, distinct fps) that connect all within distance.
+
+    masks: the grids; default: those that miss nothing. wide: columns of a wide fingerprint that must be within wide_distance too.
+    """
     rows = points.count()
-    masks = grids(groups or best_groups(rows, distance), distance)
+    masks = masks or grids(best_groups(rows, distance), distance)
     held = points.withColumn("code", thermometer(F.col("fp")))
-    cells = held.select(
-        F.posexplode(F.array(*[F.col("code").bitwiseAND(F.lit(m)) for m in masks])).alias("grid", "key"), "vertex", "fp"
-    )
+    cells = held.select(F.posexplode(F.array(*[F.col("code").bitwiseAND(F.lit(m)) for m in masks])).alias("grid", "key"), "vertex", "fp", *wide)
     hot = written(cells.groupBy("grid", "key").count().where(F.col("count") > cell_rows), "hot-cells")
     many = hot.count()
     if many:
@@ -246,28 +396,67 @@ def links(points: DataFrame, distance: int = DISTANCE, groups: int | None = None
         cells = cells.withColumn("part", F.explode(parts))
     else:
         cells = cells.withColumn("part", F.lit(0).cast("long"))
-    cells = cells.select(F.col("grid").cast("long").alias("grid"), "key", "part", "vertex", "fp")
+    cells = cells.select(F.col("grid").cast("long").alias("grid"), "key", "part", "vertex", "fp", *wide)
     # few bytes, much work: dealt out by rows, not by size
     tasks = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows * len(masks) // 100_000)
     dealt = cells.repartition(tasks, "grid", "key", "part").sortWithinPartitions("grid", "key", "part")
-    return dealt.mapInArrow(_stream(distance), "a long, b long")
+    return dealt.mapInArrow(_stream(distance, wide_distance), "a long, b long")
+
+
+def _classes(points: DataFrame, linked: DataFrame) -> DataFrame:
+    """points (vertex, first: the struct (id, of_text) that comes first) with first of the whole component, nulls last."""
+    grouped = components(linked)
+    of = points.select("vertex", "first").join(grouped, "vertex")
+    least = of.where("first is not null").groupBy("component").agg(F.min("first").alias("kept")).hint("rebalance")
+    kept = written(of.select("vertex", "component").join(least, "component", "left").select("vertex", "kept"), "components")
+    return points.join(kept, "vertex", "left").withColumn("kept", F.coalesce("kept", "first"))
+
+
+def _first() -> Column:
+    """Of rows with a fingerprint, the id and text that come first; null where none has an id."""
+    return F.min(F.when(F.col("id").isNotNull(), F.struct("id", "of_text"))).alias("first")
 
 
 def near_duplicates(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE, cell_rows: int = CELL_ROWS
 ) -> DataFrame:
-    """A row for each row of docs: id, fp, component (smallest id reachable over links of at most distance bits)."""
+    """A row for each row of docs: id, of_text, fp, component (smallest id reachable over links of at most distance bits), kept.
+
+    kept is the struct (id, of_text) of the row that stands for the component.
+    """
     marked = written(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
-    points = written(marked.groupBy("fp").agg(F.min("id").alias("vertex")), "points")
-    grouped = components(links(points.where("vertex is not null"), distance, None, cell_rows))
-    of_fp = points.join(grouped, "vertex", "left").select("fp", F.coalesce("component", "vertex").alias("component"))
-    return marked.join(written(of_fp, "classes"), "fp", "left").select("id", "fp", "component")
+    points = written(marked.groupBy("fp").agg(_first()).withColumn("vertex", F.col("fp")), "points")
+    of_fp = written(_classes(points, links(points, distance, cell_rows=cell_rows)).select("fp", "kept"), "classes")
+    return marked.join(of_fp, "fp", "left").select("id", "of_text", "fp", F.col("kept.id").alias("component"), "kept")
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", far: int = FAR, wide: int = WIDE, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """A row for each row of docs: id, of_text, component, kept, as ``near_duplicates`` has them, by both fingerprints."""
+    key = ["fp", *_WORDS]
+    marked = written(sketches(docs, id_col, text_col), "sketches")
+    # numbers of rows of a table that is written once
+    points = written(marked.groupBy(*key).agg(_first()).withColumn("vertex", F.monotonically_increasing_id()), "points")
+    groups = best_groups(points.count(), DISTANCE, typical=TYPICAL)
+    masks = grids(groups, DISTANCE, partitions_for(groups, DISTANCE, TYPICAL, MISS))
+    linked = links(points, far, masks, cell_rows, _WORDS, wide)
+    of_key = written(_classes(points, linked).select(*key, "kept"), "classes")
+    return marked.join(of_key, key, "left").select("id", "of_text", F.col("kept.id").alias("component"), "kept")
+
+
+def _without(docs: DataFrame, marked: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """docs without the rows that another one stands for. Where those that go are many, the table is shuffled by id."""
+    gone = marked.where((F.col("id") != F.col("kept.id")) | (F.col("of_text") != F.col("kept.of_text"))).select("id", "of_text").distinct()
+    whole = docs.select(F.struct(*[F.col(c) for c in docs.columns]).alias("row"))
+    text = F.coalesce(F.col(f"row.{text_col}").cast("string"), F.lit(""))
+    whole = whole.select("row", F.col(f"row.{id_col}").cast("long").alias("id"), F.xxhash64(text).alias("of_text"))
+    return whole.join(gone, ["id", "of_text"], "left_anti").select("row.*")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, distance: int = DISTANCE) -> DataFrame:
-    """docs with one row of each component: the row of the smallest id. Rows with a null id all stay.
+    """docs with one row of each component of ``near_duplicates``: that of the smallest id. Rows with a null id all stay."""
+    return _without(docs, near_duplicates(docs, id_col, text_col, shingle, distance), id_col, text_col)
 
-    Only ids travel: those that go are anti-joined away.
-    """
-    gone = near_duplicates(docs, id_col, text_col, shingle, distance).where("id <> component").select(F.col("id").alias("gone_id")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("gone_id"), "left_anti")
+
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", far: int = FAR, wide: int = WIDE) -> DataFrame:
+    """docs with one row of each component of ``near_copies``: that of the smallest id. Rows with a null id all stay."""
+    return _without(docs, near_copies(docs, id_col, text_col, far, wide), id_col, text_col)

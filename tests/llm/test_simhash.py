@@ -55,7 +55,7 @@ def test_fingerprint(text):
 def test_links_connect_what_brute_force_connects(spark, cell_rows, groups):
     fps = near_points(120, seed=groups or 1)
     points = spark.createDataFrame([(i, int(np.uint64(f).astype(np.int64))) for i, f in enumerate(fps)], "vertex long, fp long")
-    found = dict(components(simhash.links(points, groups=groups, cell_rows=cell_rows)).collect())
+    found = dict(components(simhash.links(points, masks=simhash.grids(groups) if groups else (), cell_rows=cell_rows)).collect())
     assert {i: found.get(i, i) for i in range(len(fps))} == brute_components(range(len(fps)), fps)
 
 
@@ -69,7 +69,7 @@ def test_link_cell_finds_links_between_groups():
             x ^= 1 << b
         fps.add(x)
     fp = np.array(sorted(fps), dtype=np.uint64)
-    links = simhash.link_cell(fp)
+    links = simhash.link_cell(simhash._Rows(fp, 4))
     assert len(links) < len(fp)
     assert all(bin(int(fp[a]) ^ int(fp[b])).count("1") <= 4 for a, b in links)
     up = {i: i for i in range(len(fp))}
@@ -100,8 +100,137 @@ def test_documents(spark):
     assert sorted(r.doc_id for r in stay.where("doc_id is not null").collect()) == sorted(i for i in ids if expected[i] == i)
 
 
+def test_link_cell_with_far_and_wide_fingerprints():
+    """Groups of rows that only the wide fingerprint tells apart, near and far ones, in cells of many sizes."""
+    rng = np.random.default_rng(11)
+    for n in (60, 400):
+        base = rng.integers(1 << 63, size=(n // 20, 5), dtype=np.uint64)
+        rows = base[rng.integers(len(base), size=n)]
+        for k in range(n):
+            for b in rng.choice(320, rng.integers(0, 40), replace=False):
+                rows[k, b // 64] ^= np.uint64(1) << np.uint64(b % 64)
+        cell = simhash._Rows(rows[:, 0].copy(), 10, rows[:, 1:].copy(), 44)
+        bits = lambda a, b: int(np.bitwise_count(a ^ b).sum())
+        linked = {(i, j) for i in range(n) for j in range(i) if bits(rows[i, :1], rows[j, :1]) <= 10 and bits(rows[i, 1:], rows[j, 1:]) <= 44}
+        found = simhash.link_cell(cell)
+        assert len(found) < n and all((max(p), min(p)) in linked for p in found)
+        assert _parts(n, found) == _parts(n, linked)
+
+
+def _parts(n, links):
+    up = list(range(n))
+
+    def root(x):
+        while up[x] != x:
+            x = up[x]
+        return x
+
+    for a, b in links:
+        up[max(root(a), root(b))] = min(root(a), root(b))
+    return [root(i) for i in range(n)]
+
+
+@pytest.mark.parametrize("drop", [simhash.drop_near_duplicates, simhash.drop_near_copies])
+def test_repeated_ids_lose_no_text(spark, drop):
+    t, u = " ".join(f"w{i}" for i in range(300)), " ".join(f"other{i}" for i in range(300))
+    rows = [(3, t), (5, t), (5, u), (8, u + " end"), (9, u), (None, t), (11, None), (11, ""), (12, " ")]
+    shape = "doc_id long, text string, gone_id long, id string, kept long, `row` string, of_text long, fp long"
+    docs = spark.createDataFrame([(*r, 3, "i", 1, "r", 5, 7) for r in rows], shape)
+    stay = drop(docs)
+    assert stay.columns == docs.columns
+    assert sorted(((r.doc_id is None, r.doc_id, r.text) for r in stay.collect()), key=repr) == sorted([(False, 3, t), (False, 5, u), (True, None, t), (False, 11, None), (False, 11, "")], key=repr)
+    twice = drop(docs.where("doc_id < 4").union(docs.where("doc_id < 4"))).collect()
+    assert [r.text for r in twice] == [t, t]
+
+
+def test_sketch_equals_counting_bits():
+    from xxhash import xxh64_intdigest
+
+    full = (1 << 64) - 1
+
+    def mixed(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & full
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & full
+        return x ^ x >> 31
+
+    def runs(words, size):
+        size = min(size, len(words))
+        return [mixed(sum(w * int(p) for w, p in zip(words[i : i + size], simhash._PLACES)) & full) for i in range(len(words) - size + 1)]
+
+    most = lambda hs: sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hs) > len(hs))
+    for text in ("", "a", "A b c", "x y z u v", "one two three four five six " * 30, " ".join(f"w{i % 70}" for i in range(200))):
+        words = [xxh64_intdigest(w, 42) for w in text.lower().encode().split()]
+        five = set(runs(words, 5)) if words else set()
+        expected = [most(runs(words, 2)), *(most([mixed(h ^ int(s)) for h in five]) for s in simhash._SALTS)] if words else [0] * 5
+        assert simhash.sketch(text.encode(), simhash.WordHashes()).tolist() == expected
+
+
+def shingles(text):
+    words = text.lower().split()
+    return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))}
+
+
+def test_near_copies_of_similarity_point_eight_are_found(spark):
+    """Copies with words exchanged up to a Jaccard similarity of 0.8 are found, others stay; texts share words and passages."""
+    rng = random.Random(12)
+    vocabulary = [f"w{i}" for i in range(600)]
+    write = lambda n: [rng.choice(vocabulary) for _ in range(n)]
+    passage, rows, pairs = write(60), [], []
+    for i in range(700):
+        words = write(rng.randint(150, 600))
+        if i % 3 == 0:
+            words[40:100] = passage
+        rows.append((2 * i, " ".join(words)))
+        if i % 2:
+            copy = list(words)
+            for at in rng.sample(range(len(copy)), rng.randint(1, max(1, len(copy) // 50))):
+                copy[at] = rng.choice(vocabulary)
+            rows.append((2 * i + 1, " ".join(copy)))
+            a, b = shingles(rows[-2][1]), shingles(rows[-1][1])
+            pairs.append((2 * i, 2 * i + 1, len(a & b) / len(a | b)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r.id: r.component for r in simhash.near_copies(docs).collect()}
+    similar = [(a, b) for a, b, j in pairs if j >= 0.8]
+    assert len(similar) > 150
+    assert sum(found[a] == found[b] for a, b in similar) / len(similar) >= 0.9
+    copies = {b for _, b, _ in pairs}
+    assert all(found[i] == i for i, _ in rows if i not in copies)
+    stay = {r.doc_id for r in simhash.drop_near_copies(docs).collect()}
+    assert stay == {i for i, c in found.items() if i == c}
+
+
+def test_near_copies_equal_links_of_brute_force(spark):
+    """Whatever lies within four bits is linked without a miss, and no link is made that the definition doesn't have."""
+    rng = random.Random(13)
+    rows = []
+    for i in range(60):
+        words = [f"v{rng.randrange(5000)}" for _ in range(400)]
+        for k in range(rng.choice([1, 1, 2, 5])):
+            copy = list(words)
+            for at in rng.sample(range(400), k * rng.randint(0, 3)):
+                copy[at] = "x"
+            rows.append((len(rows), " ".join(copy)))
+    sk = {i: simhash.sketch(t.encode(), simhash.WordHashes()) for i, t in rows}
+    bits = lambda a, b, k: int(np.bitwise_count(sk[a][k] ^ sk[b][k]).sum())
+    linked = lambda d: [(a, b) for a in sk for b in range(a) if bits(a, b, slice(0, 1)) <= d and bits(a, b, slice(1, 5)) <= simhash.WIDE]
+    got = {r.id: r.component for r in simhash.near_copies(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    sure, most = _parts(len(rows), linked(4)), _parts(len(rows), linked(simhash.FAR))
+    assert all(got[i] == got[sure[i]] and most[i] == most[got[i]] for i in got)
+
+
+def test_chance_of_sharing_a_cell():
+    rng = np.random.default_rng(1)
+    for g, d, h in ((5, 4, 8), (6, 4, 8), (7, 4, 5)):
+        touched = [len(set(rng.integers(g, size=h))) <= d for _ in range(20_000)]
+        assert abs(simhash.chance(g, d, h) - np.mean(touched)) < 0.02
+        assert (1 - simhash.chance(g, d, h)) ** simhash.partitions_for(g, d, h, 0.11) <= 0.11
+    assert simhash.chance(8, 4, 4) == pytest.approx(1)
+
+
 def test_empty(spark):
     docs = spark.createDataFrame([], DOCS)
+    assert simhash.near_copies(docs).count() == 0
+    assert simhash.drop_near_copies(docs).count() == 0
     assert simhash.near_duplicates(docs).count() == 0
     assert simhash.drop_near_duplicates(docs).count() == 0
 
