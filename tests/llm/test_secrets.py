@@ -69,5 +69,40 @@ def test_added_rules(text):
     assert secrets.redact(f"a {text} b", [(2, 2 + len(text), "k")]) == "a [k] b"
 
 
+def test_sql_equals_the_scan():
+    """All kinds, the added ones too, on texts made of pieces of secrets; repeated rows and ids each have their own row."""
+    import duckdb
+    import pandas as pd
+    import pyarrow as pa
+
+    from campanile.llm.queries import ORACLE
+
+    rng = random.Random(6)
+    bits = ["password", "TOKEN", "=", ":", " ", "'", "AKIA", "ABCDEF0123", "deadbeef01", "é", "\n", "eyJ", ".", "-", "abcdefgh_", "ghp_", "a1b2c3" * 6, "xoxb-", "-----BEGIN RSA PRIVATE KEY-----", "ſ"]
+    texts = ["".join(rng.choices(bits, k=30)) for _ in range(1500)] + [None, "", "token=abcdefg", "token=abcdefg"]
+    con = duckdb.connect()
+    con.register("documents", pd.DataFrame({"doc_id": [*range(len(texts) - 1), len(texts) - 2], "text": texts}))
+    got = sorted((r[0], r[5]) for r in con.sql(ORACLE["op9_secrets"]).fetchall())
+    kinds = [r.kind for r in secrets.BASE + secrets.MORE]
+    found = [",".join(f"{kinds[k]}:{a}:{b}" for a, b, k in f) for f in secrets.scan_texts(pa.array(texts), secrets.BASE + secrets.MORE)]
+    assert got == sorted(zip([*range(len(texts) - 1), len(texts) - 2], found))
+
+
+@pytest.mark.parametrize("piece", ["eyJ", "eyJ-", "eyJaaaaaaaa.", "password ", "ghp_", "0123456789abcdef012345 ", "xoxb-", "-----BEGIN ", "AKIA", "token="])
+def test_ten_megabytes_take_linear_time(piece):
+    import time
+
+    import pyarrow as pa
+
+    began = time.perf_counter()
+    secrets.scan_texts(pa.array([piece * (10_000_000 // len(piece))]), secrets.BASE + secrets.MORE)
+    assert time.perf_counter() - began < 60
+
+
+def test_without_the_parser_every_rule_scans_all(monkeypatch):
+    monkeypatch.setattr(secrets, "parser", None)
+    assert secrets.trigram_query("AKIA[A-Z0-9]+") is True
+
+
 def test_empty_table(spark):
     assert secrets.scan(spark.createDataFrame([], DOCS)).count() == 0
