@@ -4,19 +4,23 @@ Every line is good or bad. Its evidence are its own features and those of its ne
 follow one another. Forward-backward gives each line's marginal probability of being good, and their mean, weighted by
 the lines' lengths, is the document's quality; a logistic curve makes a score of it.
 
-The field is trained on labelled documents (each line takes its document's label) by conditional likelihood, on
-one part of the labelled rows; the curve is fitted on another. Both come from at most ``per_class`` rows of either label, those
-with the smallest hashes of doc_id. Of a training document longer than ``FIT_LINES`` lines, as many consecutive ones from
-a hashed place are used. Scoring always reads every line of the whole text.
-
-Defined cases: lines are what ``\\n`` separates, without blank ones; a null or blank text has one empty line. Of several
-labels of one id the greatest counts. Without labels of both kinds every score is 0.
+Only documents are labelled, lines are not: a line's state is latent, and the document's label is a witness to each line that
+is right with probability ``AGREES``. The field is trained on the likelihood of the labels: its gradient is what forward-backward
+expects of features and moves once the witnesses are heard, less what it expects without them. So a good line in a bad document can be
+taken for what it is, and the moves between good and bad lines are learned from documents that hold both.
+
+The field is trained on one part of the labelled rows, with all their lines; the curve is fitted on another. Both come from at most
+``per_class`` rows of either label, those with the smallest hashes of doc_id. Scoring always reads every line of the whole text.
+
+Defined cases: lines are what ``\\n`` separates, without blank ones; a null or blank text has one empty line; texts of any number of
+lines are read whole. Repeated rows each have a score, and count each time if they are labelled; of several labels of one id the
+greatest counts, rows with a null id or label teach nothing. Without labels of both kinds, as in an empty table, every score is 0.
+Columns besides those named are not looked at.
 """
 
 from __future__ import annotations
 
 import math
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 from operator import eq
@@ -30,7 +34,10 @@ from campanile.llm.common import checksum_mod, split_large
 from campanile.llm.toxicity import labelled_sample
 
 PER_CLASS = 2_500
-FIT_LINES = 128
+#: How often a document's label holds for a line of it.
+AGREES = 0.8
+#: Lines, with those that fill up shorter documents, that are worked on together in training.
+_TOGETHER = 100_000
 HELD_OUT, TRAINED, FITTED = 1, 0, 2
 
 #: Kinds of bytes that are counted for each line.
@@ -90,38 +97,33 @@ class Field:
         self.weights, self.bias, self.moves = np.zeros(SIZE), 0.0, np.zeros((2, 2))
         self.curve: tuple[float, float] | None = None
 
-    def train(self, docs: list[np.ndarray], labels: np.ndarray, steps: int = 80, rate: float = 0.1, ridge: float = 1e-3) -> None:
-        """Maximises the conditional likelihood of the lines' labels, by Adam over all documents at once."""
-        every = np.concatenate(docs)
-        self.mean, self.spread = every.mean(0), every.std(0) + 1e-6
-        docs = sorted(zip(docs, labels.tolist(), strict=True), key=lambda d: len(d[0]))
+    def train(self, docs: list[np.ndarray], labels: np.ndarray, steps: int = 80, rate: float = 0.1, ridge: float = 1e-3, agrees: float = AGREES) -> None:
+        """Maximises the likelihood of the documents' labels, lines being latent, by Adam over all documents at once."""
+        lines = sum(map(len, docs))
+        self.mean = sum((d.sum(0, dtype=float) for d in docs), np.zeros(SIZE)) / lines
+        self.spread = np.sqrt(sum((((d - self.mean) ** 2).sum(0) for d in docs), np.zeros(SIZE)) / lines) + 1e-6
         groups = []  # documents of like length, padded
-        for at in range(0, len(docs), 512):
-            part = docs[at : at + 512]
-            longest = max(len(x) for x, _ in part)
-            x, mask = np.zeros((len(part), longest, SIZE), dtype=np.float32), np.zeros((len(part), longest), dtype=bool)
+        for part in _of_like_length(sorted(zip(docs, labels.tolist(), strict=True), key=lambda d: len(d[0]))):
+            x, mask = np.zeros((len(part), len(part[-1][0]), SIZE), dtype=np.float32), np.zeros((len(part), len(part[-1][0])), dtype=bool)
             for i, (d, _) in enumerate(part):
                 x[i, : len(d)] = (d - self.mean) / self.spread
                 mask[i, : len(d)] = True
             groups.append((x, mask, np.array([y for _, y in part])))
         theta = np.zeros(SIZE + 5)
-        m, v, lines = np.zeros_like(theta), np.zeros_like(theta), len(every)
+        m, v = np.zeros_like(theta), np.zeros_like(theta)
         for step in range(1, steps + 1):
             grad = ridge * theta
             grad[SIZE + 1 :] *= 10
             for x, mask, y in groups:
-                grad -= self._gradient(theta, x, mask, y) / lines
+                grad -= self._gradient(theta, x, mask, y, agrees) / lines
             m, v = 0.9 * m + 0.1 * grad, 0.99 * v + 0.01 * grad**2
             theta = theta - rate * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
         self.weights, self.bias, self.moves = theta[:SIZE], float(theta[SIZE]), theta[SIZE + 1 :].reshape(2, 2)
 
     @staticmethod
-    def _gradient(theta: np.ndarray, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> np.ndarray:
-        """Of the log-likelihood: what is there less what the field expects (forward-backward)."""
-        n, longest, _ = x.shape
-        emit = np.zeros((n, longest, 2))
-        emit[:, :, 1] = x @ theta[:SIZE].astype(np.float32) + theta[SIZE]
-        moves = np.exp(theta[SIZE + 1 :].reshape(2, 2))
+    def _expected(emit: np.ndarray, moves: np.ndarray, mask: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """By forward-backward: each line's probability of being good, and how often each move is made."""
+        n, longest, _ = emit.shape
         potential = np.exp(emit - emit.max(2, keepdims=True))
         ahead, back = np.zeros((n, longest, 2)), np.ones((n, longest, 2))
         ahead[:, 0] = potential[:, 0] / potential[:, 0].sum(1, keepdims=True)
@@ -132,19 +134,26 @@ class Field:
             b = (potential[:, t + 1] * back[:, t + 1]) @ moves.T
             back[:, t] = np.where(mask[:, t + 1, None], b / b.sum(1, keepdims=True), 1.0)
         post = ahead * back
-        post /= post.sum(2, keepdims=True)
-        differ = (y[:, None] - post[:, :, 1]) * mask
+        good = post[:, :, 1] / post.sum(2) * mask
+        pair = ahead[:, :-1, :, None] * moves * (potential * back)[:, 1:, None, :]
+        pair /= pair.sum((2, 3), keepdims=True)
+        return good, (pair * mask[:, 1:, None, None]).sum((0, 1))
+
+    @classmethod
+    def _gradient(cls, theta: np.ndarray, x: np.ndarray, mask: np.ndarray, y: np.ndarray, agrees: float = AGREES) -> np.ndarray:
+        """Of the labels' log-likelihood: what is expected with the labels as witnesses less what is expected without."""
+        n, longest, _ = x.shape
+        emit = np.zeros((n, longest, 2))
+        emit[:, :, 1] = x @ theta[:SIZE].astype(np.float32) + theta[SIZE]
+        moves = np.exp(theta[SIZE + 1 :].reshape(2, 2))
+        heard = emit.copy()
+        heard[:, :, 1] += np.where(y == 1, 1, -1)[:, None] * math.log(agrees / (1 - agrees))
+        (good, made), (free, usual) = cls._expected(heard, moves, mask), cls._expected(emit, moves, mask)
+        differ = good - free
         out = np.empty(SIZE + 5)
         out[:SIZE] = np.tensordot(differ.astype(np.float32), x, axes=([0, 1], [0, 1]))
         out[SIZE] = differ.sum()
-        there = mask[:, 1:]
-        pair = ahead[:, :-1, :, None] * moves * (potential * back)[:, 1:, None, :]
-        pair /= pair.sum((2, 3), keepdims=True)
-        expected = (pair * there[:, :, None, None]).sum((0, 1))
-        seen = np.zeros((2, 2))
-        count = there.sum(1)
-        seen[1, 1], seen[0, 0] = count[y == 1].sum(), count[y == 0].sum()
-        out[SIZE + 1 :] = (seen - expected).ravel()
+        out[SIZE + 1 :] = (made - usual).ravel()
         return out
 
     def marginals(self, x: np.ndarray) -> np.ndarray:
@@ -191,11 +200,16 @@ def _logit(p: np.ndarray) -> np.ndarray:
     return np.log(p / (1 - p))
 
 
-def _some(text: str | None) -> np.ndarray:
-    """Features of at most FIT_LINES consecutive lines, from a place that depends on the text alone."""
-    x, _ = features(text)
-    at = zlib.crc32((text or "").encode("utf-8", "surrogatepass")) % max(1, len(x) - FIT_LINES + 1)
-    return x[at : at + FIT_LINES]
+def _of_like_length(docs: list[tuple[np.ndarray, int]]) -> Iterator[list[tuple[np.ndarray, int]]]:
+    """Documents, shortest first, in parts that stay within ``_TOGETHER`` lines once they are filled up to the longest."""
+    part: list[tuple[np.ndarray, int]] = []
+    for d in docs:
+        if part and (len(part) + 1) * len(d[0]) > _TOGETHER:
+            yield part
+            part = []
+        part.append(d)
+    if part:
+        yield part
 
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = PER_CLASS) -> Field:
@@ -207,7 +221,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     field = Field()
 
     def lines(batch: pa.RecordBatch) -> pa.RecordBatch:
-        x = [_some(t).astype("<f4").tobytes() for t in batch.column(2).to_pylist()]
+        x = [features(t)[0].astype("<f4").tobytes() for t in batch.column(2).to_pylist()]
         return pa.RecordBatch.from_arrays([batch.column(1).cast(pa.int32()), pa.array(x, pa.binary())], ["y", "x"])
 
     def over(one):
@@ -218,7 +232,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
 
         return run
 
-    # at most 2 * per_class documents of FIT_LINES lines
+    # at most 2 * per_class documents
     got = marked.where(F.col("part") == TRAINED).mapInArrow(over(lines), "y int, x binary").toArrow()
     y = got.column(0).to_numpy()
     if len(set(y.tolist())) < 2:

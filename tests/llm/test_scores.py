@@ -97,7 +97,9 @@ def test_gradient_equals_differences():
         for i in range(3):
             n = mask[i].sum()
             value = lambda ys: sum((x[i, t] @ theta[: quality.SIZE] + theta[quality.SIZE]) * v for t, v in enumerate(ys)) + sum(theta[quality.SIZE + 1 + 2 * a + b] for a, b in zip(ys, ys[1:]))  # noqa: E731, B023
-            out += value((y[i],) * n) - np.log(sum(np.exp(value(ys)) for ys in product((0, 1), repeat=n)))
+            witness = lambda ys: np.prod([quality.AGREES if v == y[i] else 1 - quality.AGREES for v in ys])  # noqa: E731, B023
+            every = list(product((0, 1), repeat=n))
+            out += np.log(sum(np.exp(value(ys)) * witness(ys) for ys in every)) - np.log(sum(np.exp(value(ys)) for ys in every))
         return out
 
     got = quality.Field._gradient(theta, x, mask, y)
@@ -107,6 +109,132 @@ def test_gradient_equals_differences():
         assert abs((likelihood(theta + step) - likelihood(theta - step)) / 2e-5 - got[k]) < 1e-3
 
 
+def plain_line(line, lines):
+    """A line's own features, counted one by one."""
+    import math
+    from collections import Counter
+
+    raw, words = line.encode(), line.split()
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    kinds = [
+        sum(chr(b) in letters.upper() for b in raw),
+        sum(chr(b) in "0123456789" for b in raw),
+        sum(chr(b) in ".!?" for b in raw),
+        sum(chr(b) == "!" for b in raw),
+        sum(chr(b) in ",;:" for b in raw),
+        sum(32 < b < 127 and not (chr(b) in letters + letters.upper() + "0123456789.!?,;:'\"-()") for b in raw),
+        sum(chr(b) == "|" for b in raw),
+        sum(b > 127 for b in raw),
+    ]
+    n = len(words) or 1
+    return [k / max(1, len(raw)) for k in kinds] + [
+        math.log1p(len(raw)),
+        math.log1p(len(words)),
+        len(set(words)) / n,
+        sum(a == b for a, b in zip(words, words[1:])) / n,
+        max(Counter(words).values(), default=0) / (n + 4),
+        len(raw) / n / 10,
+        float(lines.count(line) > 1),
+        float(line.rstrip()[-1:] in (".", "!", "?", "")),
+    ]
+
+
+@pytest.mark.parametrize("text", [None, "", " \n\t", "One line.", "A b, c!\n\n\tB | 42 42 ü?\nA b, c!\n(x) -- y's", "word " * 3000 + "\n" + "Z\n" * 500])
+def test_features_and_quality_equal_plain_counting(text):
+    lines = [x for x in (text or "").split("\n") if x.strip()] or [""]
+    own = [plain_line(x, lines) for x in lines]
+    edge = [0.0] * quality.OWN
+    x, lengths = quality.features(text)
+    for t in range(len(lines)):
+        expected = own[t] + (own[t - 1] if t else edge) + (own[t + 1] if t + 1 < len(lines) else edge)
+        assert np.allclose(x[t], expected)
+    assert lengths.tolist() == [max(1, len(line.encode())) for line in lines]
+    field = quality.Field()
+    field.weights, field.moves = np.random.default_rng(5).normal(size=quality.SIZE), np.array([[0.3, -0.2], [-0.4, 0.5]])
+    p = field.marginals(x)
+    assert field.quality(text) == pytest.approx(sum(a * b for a, b in zip(p, lengths)) / sum(lengths))
+
+
+def test_good_and_bad_lines_in_one_document(spark):
+    """Labels are of documents that hold both kinds of lines; the field tells the lines apart, and neighbours count."""
+    rng = np.random.default_rng(6)
+    good = lambda: " ".join(rng.choice(["river", "stone", "light", "water"], 8)) + "."
+    bad = lambda: " ".join(["buy"] * 4 + ["NOW", "!!!", "$$$", str(rng.integers(99))])
+    odd = lambda: "maybe " + str(rng.choice(["this", "that"]))  # noqa: E731  a line that says nothing of itself
+    docs, y = [], []
+    for i in range(300):
+        label = i % 2
+        kinds = [label] * 8 + [1 - label] * 2  # a stretch of the other kind in every document
+        docs.append("\n".join(odd() if rng.random() < 0.2 else (good if k else bad)() for k in kinds))
+        y.append(label)
+    field = quality.Field()
+    field.train([quality.features(t)[0] for t in docs], np.array(y))
+    assert field.moves[0, 0] + field.moves[1, 1] > field.moves[0, 1] + field.moves[1, 0]
+    p = field.marginals(quality.features("\n".join([good() for _ in range(4)] + [bad() for _ in range(4)] + [good() for _ in range(4)]))[0])
+    assert p[:3].min() > 0.5 and p[5:7].max() < 0.5 and p[9:].min() > 0.5
+    between = lambda kind: field.marginals(quality.features("\n".join([kind() for _ in range(3)] + ["maybe this"] + [kind() for _ in range(3)]))[0])[3]
+    assert between(good) > between(bad) + 0.2
+
+
+def test_every_line_of_a_training_document_counts(spark):
+    """Bad lines far beyond the first hundred decide."""
+    rows = [(i, "\n".join(["plain words of a line."] * 400 + (["BUY $$$ NOW!!!"] * 400 if i % 2 else ["more words of a line."] * 400)), 1, 0.1, 7) for i in range(60)]
+    docs, labels = spark.createDataFrame(rows, DOCS), spark.createDataFrame([(i, 1 - i % 2, 0, "t") for i in range(60)], LABELS)
+    field = quality.fit(docs, labels)
+    found = quality.score(docs, field, {"doc_id": F.col("doc_id")}).collect()
+    assert all((r.score >= 0.5) == (r.doc_id % 2 == 0) for r in found)
+
+
+def test_kneser_ney_equals_plain_formulas():
+    """Absolute discounting of the class's counts over shared continuation counts, recomputed with strings."""
+    from collections import Counter, defaultdict
+
+    toxic, ordinary, other = "bad badder worst bad", "good gold god day", "bead goad bold"
+    grams = lambda text: [("^" + w + "$")[max(0, i - 4) : i + 1] for w in text.split() for i in range(1, len(w) + 2)]
+    every = Counter(grams(" ".join([toxic, ordinary, other])))
+    letters = {g[-1] for g in every}
+
+    def levels():
+        out = []
+        for k in range(1, 5):  # of k characters, each different character before makes one
+            longer = {g[-(k + 1) :] for g in every if len(g) > k}
+            out.append(Counter(x[1:] for x in longer))
+        return out
+
+    lower = levels()
+
+    def discounted(counts, gram):
+        once, twice = sum(v == 1 for v in counts.values()), sum(v == 2 for v in counts.values())
+        d = once / (once + 2 * twice) if once and twice else 0.5
+        same = {g: v for g, v in counts.items() if g[:-1] == gram[:-1]}
+        total = sum(same.values())
+        return (max(counts.get(gram, 0) - d, 0) / total, d * len(same) / total) if total else (0.0, 1.0)
+
+    def shared(gram):
+        p = 1 / max(2, len(letters))
+        for k in range(1, max(len(gram) - 1, 1) + 1):
+            own, left = discounted(lower[k - 1], gram[-k:])
+            p = own + left * p
+        return p
+
+    def ratio(gram):
+        out = []
+        for text in (toxic, ordinary):
+            own, left = discounted(Counter(grams(text)), gram)
+            out.append(np.log(own + left * shared(gram)))
+        return out[0] - out[1]
+
+    code = defaultdict(int)
+    for g in every:
+        for c in g:
+            code[g] = code[g] << toxicity._BITS | (32 if c in "^$" else ord(c))
+    keys = np.array([code[g] for g in every])
+    assert set(keys.tolist()) == set(toxicity.codes(" ".join([toxic, ordinary, other]))[0].tolist())
+    count = lambda text: np.array([Counter(grams(text))[g] for g in every])
+    model = toxicity.Model(keys, count(toxic), count(ordinary))
+    assert np.allclose(model.compare(keys), [ratio(g) for g in every])
+
+
 def test_ratios_of_every_gram(spark):
     """Tables and the model in memory agree, on grams that were counted and on others; none is left out."""
     rng = np.random.default_rng(4)
