@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from collections.abc import Callable, Iterator
@@ -18,10 +19,12 @@ _own_folder: dict[str, str] = {}
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``; a temporary one only where none is set (local tests)."""
+    """The folder named by ``spark.checkpoint.dir``; a temporary one only where none is set and all runs on one machine."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
         return folder.rstrip("/")
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.sparkContext.master):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
     app = spark.sparkContext.applicationId
     if app not in _own_folder:
         _own_folder[app] = "file://" + tempfile.mkdtemp(prefix="campanile-")

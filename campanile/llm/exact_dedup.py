@@ -12,7 +12,8 @@ rows false positives get more frequent, so more rows are grouped; the answer sta
 Defined cases: a null text counts as empty. Texts are equal when they are identical after deleting
 ``[\\x20\\x09-\\x0D]``; all empty ones are equal. Of equal texts stays the row with the most code points, then
 the smallest id (a null id is smaller than any). Rows that repeat both id and text are one document: all of
-them are annotated alike, ``drop_repeats`` keeps one of them. An empty table gives an empty result.
+them are annotated alike, ``drop_repeats`` keeps one of them. Texts of any length are digested whole. Other columns, whatever
+their names, are passed on untouched by ``drop_repeats`` and not looked at by ``annotate``. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -59,7 +60,7 @@ def place(sha: Column, words: int) -> tuple[Column, Column, Column]:
 def repeat_filter(digested: DataFrame, words: int) -> DataFrame:
     """(word, bits): the filter's bits that two rows or more have hit."""
     word, a, b = place(F.col("sha"), words)
-    hits = digested.select(F.explode(F.array(word * 64 + a, word * 64 + b)).alias("bit")).groupBy("bit").count()
+    hits = digested.select(F.explode(F.array_distinct(F.array(word * 64 + a, word * 64 + b))).alias("bit")).groupBy("bit").count()
     return (
         hits.where(F.col("count") > 1)
         .groupBy(F.shiftright("bit", 6).alias("word"))

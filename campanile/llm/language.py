@@ -9,7 +9,9 @@ distinct words; only n-gram sums are shuffled, and ``size`` rows a language reac
 
 Defined cases: letters are Unicode letters, lower-cased; a text that is null or has no letter is ``und`` with score
 0. Ties of counts go to the smaller code points, ties of distance to the language that sorts first. Rows with a null
-language or text teach nothing; repeated rows count each time. Without any profile every text is ``und``.
+language or text teach nothing; repeated rows count each time and are each predicted. Texts of any length are read whole. Without
+any profile, as from an empty table, every text is ``und``. Other columns, whatever their names, are passed on by ``keep_identified`` and
+not looked at by ``identify``.
 """
 
 from __future__ import annotations
@@ -143,17 +145,21 @@ def identify(docs: DataFrame, model: Profiles, keep: dict[str, Column], text_col
     return rows.mapInArrow(run, schema)
 
 
-def keep_identified(docs: DataFrame, model: Profiles, text_col: str = "text", min_score: float = 0.0) -> DataFrame:
+def keep_identified(docs: DataFrame, model: Profiles, text_col: str = "text", min_score: float = 0.0, lang_col: str | None = None) -> DataFrame:
     """docs, same columns, without the rows whose language is ``und`` or whose score is below min_score.
 
-    Without any profile nothing is known of languages: only the rows without a letter go.
+    lang_col: a column of strings that gets the predicted language. Without any profile nothing is known of languages: only the
+    rows without a letter go, and lang_col stays as it is.
     """
     sent, at = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
+    to = None if lang_col is None else docs.columns.index(lang_col)
 
     def one(batch: pa.RecordBatch) -> pa.RecordBatch:
         if not sent.value.langs:
             return batch.filter(pa.array([len(grams(t or "")) > 0 for t in batch.column(at).to_pylist()], pa.bool_()))
         lang, score = _predictions(sent, batch.column(at))
+        if to is not None:
+            batch = pa.RecordBatch.from_arrays([*batch.columns[:to], pa.array(lang, batch.schema.field(to).type), *batch.columns[to + 1 :]], batch.schema.names)
         return batch.filter(pa.array([x != UNKNOWN and s >= min_score for x, s in zip(lang, score, strict=True)], pa.bool_()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -7,16 +7,17 @@ where ``end`` counts the queue's tokens up to the packet's end: deficits are a m
 carry over windows and partitions without any task waiting for another. Rounds laid end to end, sources in
 order within a round, are the stream that is cut into windows; a packet on a cut goes on in the next window.
 
-At any point of the stream a source is within a packet and a quantum of its target share. The default target is
-each source's share of all tokens, so all queues end together; with other weights, a queue that has run dry leaves
-its part to the others.
+At any point of the stream a source is within a packet and a quantum of its target share. ``weights`` are the targets, by name or as
+an expression; a queue that has run dry leaves its part to the others, so targets hold until the first queue ends. Without weights
+the target is each source's share of all tokens, and all queues end together.
 
 Prefix sums are taken in two or three levels (hash bucket in a queue, rounds, chunks of rounds), so no task
 holds more than a bucket, and the largest source is spread over all of them. Token ids are written to a table
 once; they move once more, to meet their document's places.
 
 Defined cases: a null text counts as empty and has the end token alone; a null source is a queue of its own; rows
-that repeat a doc_id are packed each for itself. An empty table gives an empty result.
+that repeat a doc_id are packed each for itself; a text longer than a window goes on in others. Weights that are null or not
+positive count as the least of the others. Other columns, whatever their names, are not looked at. An empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from campanile.llm.common import split_large, written
@@ -80,15 +81,22 @@ def queue_places(rows: DataFrame, seed: int, buckets: int = BUCKETS) -> DataFram
     return placed.select("part", "row", "queue", "n", "before")
 
 
-def quanta(rows: DataFrame, window: int, weights: dict[str, float] | None = None) -> DataFrame:
-    """(queue, quantum): a round's tokens of each source; default: its share of all tokens."""
-    totals = rows.groupBy("queue").agg(F.sum("n").alias("total"))
+def quanta(rows: DataFrame, window: int, weights: dict[str, float] | Column | None = None) -> DataFrame:
+    """(queue, quantum): a round's tokens of each source; default: its share of all tokens.
+
+    weights: by the source's name, or an expression over a table with a row for each source, whose column is ``source``.
+    """
+    totals = rows.groupBy("queue").agg(F.sum("n").alias("total")).withColumn("source", F.when(F.col("queue") != "null", F.expr("substring(queue, 2)")))
     if weights is None:
         share = F.col("total")
-    else:
+    elif isinstance(weights, dict):
         named = F.create_map(*[F.lit(x) for k, w in weights.items() for x in (f"={k}", float(w))])
-        share = F.coalesce(F.try_element_at(named, F.col("queue")), F.lit(min(weights.values())))
-    totals = totals.withColumn("share", share.cast("double"))
+        share = F.try_element_at(named, F.col("queue"))
+    else:
+        share = weights
+    totals = totals.withColumn("given", share.cast("double"))
+    least = F.min(F.when(F.col("given") > 0, F.col("given"))).over(Window.partitionBy())
+    totals = totals.withColumn("share", F.when(F.col("given") > 0, F.col("given")).otherwise(F.coalesce(least, F.lit(1.0))))
     whole = F.sum("share").over(Window.partitionBy())  # a row for each source
     return totals.select("queue", (F.lit(float(window)) * F.col("share") / whole).alias("quantum"))
 
@@ -136,7 +144,7 @@ def pack(
     window: int = WINDOW,
     packet: int = PACKET,
     end_id: int = END_ID,
-    weights: dict[str, float] | None = None,
+    weights: dict[str, float] | Column | None = None,
     seed: int = 17,
     with_ids: bool = False,
 ) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from campanile.llm import chat, exact_dedup, language, mixing, packing, quality, secrets, simhash, topk, toxicity
@@ -53,7 +53,7 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_packing")
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    return packing.pack(read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), weights=target_shares())
 
 
 def domain() -> Column:
@@ -66,13 +66,25 @@ def mixture_levels() -> dict[str, Column]:
     return {"domain": domain(), "lang": F.col("lang"), "source": F.col("source")}
 
 
+def target_shares() -> Column:
+    """The tokens that a window should hold of each source: its part of its domain's, by weight (over a row for each source)."""
+
+    def weight(level: str, name: Column) -> Column:
+        named = F.create_map(*[F.lit(x) for k, w in WEIGHTS[level].items() for x in (k, float(w))])
+        return F.coalesce(F.try_element_at(named, name), F.lit(1.0))
+
+    own = weight("source", F.coalesce("source", F.lit("")))
+    return weight("domain", domain()) * own / F.sum(own).over(Window.partitionBy(domain()))
+
+
 def mixture_sql(table: str = "documents") -> str:
     """CTEs up to ``chosen`` (id, domain, lang, source, n, times): the same budgets and prefixes in DuckDB."""
     names = ["domain", "lang", "source"]
     case = lambda k: "CASE " + " ".join(f"WHEN l.{k} = '{n}' THEN {w}" for n, w in WEIGHTS[k].items()) + " ELSE 1 END"
     out = rf"""
 d AS (SELECT doc_id AS id, CASE WHEN right(coalesce(source, ''), 1) < '4' THEN 'web' WHEN right(coalesce(source, ''), 1) < '7' THEN 'books' ELSE 'code' END AS domain,
-             coalesce(lang, '') AS lang, coalesce(source, '') AS source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-]+')) AS BIGINT) AS n FROM {table}),
+             coalesce(lang, '') AS lang, coalesce(source, '') AS source, CAST(len(regexp_extract_all(coalesce(text, ''), '[^ 	-
+]+')) AS BIGINT) AS n FROM {table}),
 leaves AS (SELECT domain, lang, source, CAST(sum(n) AS BIGINT) AS tokens FROM d GROUP BY ALL),
 b0 AS (SELECT CAST(coalesce(sum(tokens), 0) * 3 // 4 AS BIGINT) AS budget FROM leaves)"""
     for i, k in enumerate(names):
@@ -111,7 +123,44 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.identify(docs, model, {"doc_id": F.col("doc_id"), "held_out": held_out})
 
 
-@query("op9_secrets")
+def secrets_sql() -> str:
+    """Spans from the texts between matches: a match starts after all texts and matches before it.
+
+    RE2 has no look-behind: there, a token's expression takes the character before it along, and its own length is that of a group.
+    """
+    either = lambda word: "".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in word)
+    names = "|".join(map(either, ("password", "passwd", "secret", "token", "api_?key")))
+    part = "[A-Za-z0-9_-]{8,}"
+    rules = [  # kind, expression, group of the span, group whose length counts, least length
+        ("assign", rf"""({names})["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)""", 0, 2, 6),
+        ("access", "AKIA[A-Z0-9]+", 0, 0, 20),
+        ("hex", "[0-9a-f]+", 0, 0, 24),
+        ("private_key", "-----BEGIN [A-Z ]{0,40}PRIVATE KEY-----", 0, 0, 0),
+        ("github", "gh[pousr]_[A-Za-z0-9]{36,}", 0, 0, 0),
+        ("slack", "xox[abprs]-[A-Za-z0-9-]{10,}", 0, 0, 0),
+        ("jwt", rf"(^|[^A-Za-z0-9_-])(eyJ{part}\.{part}\.{part})", 2, 0, 0),
+    ]
+    out = "WITH d AS (SELECT doc_id, row_number() OVER () AS row, coalesce(text, '') AS t FROM documents)"
+    for k, (_, expression, span, value, _) in enumerate(rules):
+        every = f"regexp_extract_all(t, '{expression}', %d)"
+        out += f""",
+a{k} AS (SELECT row, string_split_regex(t, '{expression}') AS gaps, {every % 0} AS whole, {every % span} AS own, {every % value} AS val FROM d),
+m{k} AS (SELECT row, {k} AS k, generate_subscripts(whole, 1) AS i, gaps, whole, own, val FROM a{k})"""
+    found = " UNION ALL ".join(
+        f"""SELECT row, k, '{kind}' AS kind, list_sum(list_transform(gaps[1:i], lambda g: length(g))) + coalesce(list_sum(list_transform(whole[1:i], lambda g: length(g))), 0) AS stop,
+       length(own[i]) AS size FROM m{k} WHERE length(val[i]) >= {least}"""
+        for k, (kind, _, _, _, least) in enumerate(rules)
+    )
+    return out + f""",
+f AS ({found}),
+s AS (SELECT row, k, kind, CAST(stop - size AS BIGINT) AS start, kind || ':' || CAST(stop - size AS BIGINT) || ':' || CAST(stop AS BIGINT) AS span FROM f)
+SELECT doc_id, count(*) FILTER (WHERE kind = 'assign') AS n_assign, count(*) FILTER (WHERE kind = 'access') AS n_access, count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+       sha256(coalesce(string_agg(span, ',' ORDER BY start, k) FILTER (WHERE k < 3), '')) AS base_sha256, coalesce(string_agg(span, ',' ORDER BY start, k), '') AS spans
+FROM d LEFT JOIN s USING (row) GROUP BY row, doc_id
+"""
+
+
+@query("op9_secrets", secrets_sql())
 def op9_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.scan(read_table(spark, sf_dir, "documents"))
     base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secrets.BASE]))

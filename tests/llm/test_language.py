@@ -1,4 +1,5 @@
 import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -24,6 +25,54 @@ def test_grams_equal_counting_words():
     assert len(language.grams(" 12 _ ²")) == 0
 
 
+def plain_grams(text):
+    import regex
+
+    out = Counter()
+    for w in regex.findall(r"\p{L}+", text.lower()):
+        p = f" {w} "
+        out.update([*w, *(p[i : i + 2] for i in range(len(p) - 1)), *(p[i : i + 3] for i in range(len(p) - 2))])
+    return out
+
+
+def plain_profile(counts, size):
+    key = lambda g: [*map(ord, g), 0, 0][:3]
+    return sorted(counts, key=lambda g: (-counts[g], key(g)))[:size]
+
+
+def plain_predictions(learned, texts, size=language.SIZE, document_size=language.DOCUMENT_SIZE):
+    counts = {}
+    for text, lang in learned:
+        counts.setdefault(lang, Counter()).update(plain_grams(text))
+    profiles = {lang: {g: r for r, g in enumerate(plain_profile(c, size))} for lang, c in counts.items()}
+    out = []
+    for text in texts:
+        own = plain_profile(plain_grams(text or ""), document_size)
+        distance = {lang: sum(min(size, abs(p[g] - r)) if g in p else size for r, g in enumerate(own)) for lang, p in profiles.items()}
+        best = min(sorted(distance), key=distance.get, default="und") if own else "und"
+        out.append((best, 1 - distance[best] / (size * len(own)) if best in distance and own else 0.0))
+    return out
+
+
+def test_ranks_distances_and_ties_equal_plain_counting(spark):
+    """Profiles of every n-gram's count, ranks with ties by code point, distances and scores, on the smallest documents."""
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang").collect()
+    learned = [(r.text, r.lang) for r in rows if r.doc_id % 2 and r.text is not None and r.lang is not None]
+    odd = [(10**6, "", "en"), (10**6 + 1, None, "en"), (10**6 + 2, "42", "en"), (10**6 + 3, "z", "en"), (10**6 + 4, "中文字", "en"), (10**6 + 5, "ab ab", "en")]
+    table = docs(spark, [(r.doc_id, r.text, r.lang) for r in rows] + odd)
+    for size in (language.SIZE, 30):
+        model = language.fit(table.where("doc_id % 2 = 1 and doc_id < 1000000"), size=size, document_size=size)
+        found = {r.doc_id: (r.lang_pred, r.score) for r in language.identify(table, model, {"doc_id": F.col("doc_id")}).collect()}
+        ids, texts = [r.doc_id for r in rows] + [o[0] for o in odd], [r.text for r in rows] + [o[1] for o in odd]
+        for i, (lang, score) in zip(ids, plain_predictions(learned, texts, size, size)):
+            assert found[i][0] == lang and abs(found[i][1] - score) < 1e-12
+
+
+def test_equal_distances_go_to_the_first_language():
+    of = {lang: language.grams("abc").tolist() for lang in ("xx", "aa", "mm")}
+    assert language.Profiles(of).predict("abc")[0] == "aa"
+
+
 def test_held_out_accuracy(spark):
     from campanile.llm.queries import QUERIES
 

@@ -88,6 +88,42 @@ def test_weights_and_sequences(spark):
     assert sum(r.used for r in whole) == 400 * 51
 
 
+def test_windows_hold_the_targets_until_a_source_ends(spark):
+    """By the tree's target shares, on the documents: every window and every prefix is near them while all sources last."""
+    from campanile.llm.queries import target_shares
+
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    source = {r.doc_id: r.source for r in docs.collect()}
+    out = sorted(packing.pack(docs, FILE, weights=target_shares()).collect(), key=lambda p: (p.sequence_id, p.offset))
+    names = sorted(set(source.values()))
+    weight = {s: (8.0 if s == "src0" else 1.0) for s in names}
+    group = {s: "web" if s[-1] < "4" else "books" if s[-1] < "7" else "code" for s in names}
+    target = {s: {"web": 5, "books": 3, "code": 2}[group[s]] * weight[s] / sum(weight[x] for x in names if group[x] == group[s]) for s in names}
+    whole = sum(target.values())
+    left, got, seen, windows = defaultdict(int), defaultdict(int), 0, defaultdict(lambda: defaultdict(int))
+    for p in out:
+        left[source[p.doc_id]] += p.length
+    rounds = min(left[s] / target[s] for s in names) * whole / packing.WINDOW - 2  # full rounds of all sources
+    assert rounds > 20
+    for p in out:
+        if p.sequence_id >= rounds:
+            break
+        windows[p.sequence_id][source[p.doc_id]] += p.length
+        got[source[p.doc_id]] += p.length
+        seen += p.length
+        assert all(abs(got[s] - seen * target[s] / whole) <= packing.WINDOW * target[s] / whole + 2 * packing.PACKET + 1 for s in names)
+    off = [sum(abs(w[s] / packing.WINDOW - target[s] / whole) for s in names) / 2 for w in windows.values()]
+    assert sum(off) / len(off) < 0.35 and len(off) > 20
+
+
+def test_odd_weights(spark):
+    rows = spark.createDataFrame([("=a", 5), ("=b", 7), ("null", 1), ("=", 2)], "queue string, n long")
+    shares = lambda w: {r.queue: r.quantum for r in packing.quanta(rows, 100, w).collect()}
+    assert shares({"a": 6, "b": 2}) == {"=a": 50.0, "=b": pytest.approx(100 / 6), "null": pytest.approx(100 / 6), "=": pytest.approx(100 / 6)}
+    assert shares({"a": 0, "b": -1}) == dict.fromkeys(("=a", "=b", "null", "="), 25.0)
+    assert sum(shares(None).values()) == pytest.approx(100)
+
+
 def test_pieces_equal_the_library(library):
     model = tokens.PieceTokenizer(open(FILE).read(), keep=50)
     rng = np.random.default_rng(3)
