@@ -38,5 +38,7 @@ RESERVED_NAMES = ("SELECT", "DROP", "INSERT", "DELETE", "UPDATE", "TABLE")
 #: Suffixes that name a level of theory.
 LEVEL_SUFFIXES = ("_TPS", "_TPSSH", "_PBE", "_PBE0", "_B3LYP", "_M06L")
 FUNCTIONAL_SUFFIXES = ("_PBE0", "_TPSSH", "_PBE", "_pbe0", "_tpssh", "_pbe")
+#: Messages that filters match by their beginnings.
+MARKER_MESSAGE, ORPHAN_MESSAGE = "Blocked by .do_not_rerun.json marker", "Orphaned job failed on disk"
 #: What ends a calculation's output.
 DONE, ABORTED, FAILED_LINE = "ORCA TERMINATED NORMALLY", "aborting the run", "Error"

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -132,11 +133,18 @@ def times(text: Column, lines: int = 30) -> Column:
     return let(tail(text, lines), lambda last: F.when(_has(last, DONE), let(pairs(last), kept)).otherwise(none))
 
 
+#: A population block after its kind: up to the line of sums, a blank line or the end.
+_BLOCK = r" ATOMIC CHARGES AND SPIN POPULATIONS[^\n]*\n[^\n]*\n[\s\S]*?(?:\n\s*Sum of|\n[ \t\r]*\n|\z)"
+
+
 def population(text: Column, kind: str = "MULLIKEN", which: str = "last") -> Column:
     """struct of arrays (elements, indices, charges, spins) of the first or last block with spins; NULL without one."""
     if which not in ("first", "last"):
         raise ValueError(which)
-    blocks = F.regexp_extract_all(text, F.lit(rf"{kind} ATOMIC CHARGES AND SPIN POPULATIONS[^\n]*\n[^\n]*\n([\s\S]*?)(?:\n\s*Sum of|\z)"), F.lit(1))
+    return _population(F.regexp_extract_all(text, F.lit(kind + _BLOCK), F.lit(0)), which)
+
+
+def _population(blocks: Column, which: str) -> Column:
     block = F.try_element_at(blocks, F.lit(1 if which == "first" else -1))
     t = F.filter(F.transform(F.split(block, "\r?\n"), tokens), lambda x: F.size(x) >= 4)
 
@@ -151,26 +159,50 @@ def population(text: Column, kind: str = "MULLIKEN", which: str = "last") -> Col
     return F.when(F.size(rows) > 0, F.struct(part("e").alias("elements"), part("i").alias("indices"), part("c").alias("charges"), part("s").alias("spins"))).cast(POPULATION)
 
 
+#: What one scan of an output takes out of it: population blocks whole, and the lines of single facts from their marks on.
+MARKED = rf"(?:MULLIKEN|LOEWDIN){_BLOCK}|(?:MAX gradient|FINAL SINGLE POINT ENERGY|nprocs|SCF CONVERGED AFTER)[^\n]*"
+
+
+def marked(text: Column) -> Column:
+    """The parts of a text that facts come from, in order, by one scan; a line's part starts at its first mark."""
+    return F.regexp_extract_all(text, F.lit(MARKED), F.lit(0))
+
+
 def metrics(text: Column, mtime: Column, now: Column, hours: float = 6, lines: int = 30) -> Column:
-    """All facts of one output in one pass over its text."""
+    """All facts of one output from one scan of its text and the lines at its end.
+
+    A line counts for one fact, the first of: force, energy, processes, cycles. Lines in a population block count for none.
+    """
+    number = lambda x: F.when(x.rlike(r"\s\S+\s*$"), F.element_at(tokens(x), -1).try_cast("double"))
+    single = lambda found: F.filter(found, lambda x: ~x.rlike("^(?:MULLIKEN|LOEWDIN) "))
+
+    def numbers(found: Column, mark: str, *but: str) -> Column:
+        of = F.filter(single(found), lambda x: reduce(lambda a, b: a & ~x.contains(b), but, x.contains(mark)))
+        return F.filter(F.transform(of, number), lambda v: v.isNotNull())
+
+    def cycles(found: Column) -> Column:
+        got = F.transform(single(found), lambda x: F.regexp_extract(x, r"SCF CONVERGED AFTER\s+(\d+)\s+CYCLES", 1).try_cast("int"))
+        got = F.filter(got, lambda v: v.isNotNull())
+        return F.when(F.size(got) > 0, F.aggregate(got, F.lit(0), lambda s, x: (s + x).cast("int")))
 
     def facts(ended: Column) -> Column:
-        code, t = ended["code"], ended["times"]
+        code, t, found = ended["code"], ended["times"], ended["found"]
+        blocks = lambda kind: F.filter(found, lambda x: x.startswith(kind + " "))
         return F.struct(
-            max_forces(text).alias("max_forces"),
-            scf_steps(text).alias("scf_steps"),
-            final_energy(text).alias("final_energy"),
-            processes(text).alias("nprocs"),
+            F.try_element_at(numbers(found, "MAX gradient"), F.lit(-1)).alias("max_forces"),
+            cycles(found).alias("scf_steps"),
+            F.try_element_at(numbers(found, "FINAL SINGLE POINT ENERGY", "MAX gradient"), F.lit(-1)).alias("final_energy"),
+            F.try_element_at(numbers(found, "nprocs", "MAX gradient", "FINAL SINGLE POINT ENERGY"), F.lit(1)).cast("int").alias("nprocs"),
             F.try_element_at(t, F.lit("Total")).alias("wall_time"),
             t.alias("time_dict"),
             code.alias("termination_status"),
             (code == 1).alias("success"),
             (code == -2).alias("is_timeout"),
-            population(text, "MULLIKEN").alias("mulliken"),
-            population(text, "LOEWDIN").alias("loewdin"),
+            _population(blocks("MULLIKEN"), "last").alias("mulliken"),
+            _population(blocks("LOEWDIN"), "last").alias("loewdin"),
         )
 
-    ended = F.struct(termination(text, mtime, now, hours, lines).alias("code"), times(text, lines).alias("times"))
+    ended = F.struct(termination(text, mtime, now, hours, lines).alias("code"), times(text, lines).alias("times"), marked(text).alias("found"))
     return let(ended, facts).cast(METRICS)
 
 

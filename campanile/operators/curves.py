@@ -15,10 +15,13 @@ def relative_energy(df: DataFrame, energy: str, by: Sequence[str], factor: float
     return df.withColumn("relative", (F.col(energy) - F.min(energy).over(Window.partitionBy(*by))) * factor)
 
 
-def near_median(df: DataFrame, energy: str, by: Sequence[str], within: float = 1.0) -> DataFrame:
-    """Negative energies within so much of their group's median. The medians are one aggregate, joined back."""
+def near_median(df: DataFrame, energy: str, by: Sequence[str], within: float = 1.0, exact: bool = True) -> DataFrame:
+    """Negative energies within so much of their group's median. The medians are one aggregate, joined back.
+
+    An exact median keeps a group's distinct values in memory; for groups of billions take ``exact=False`` (a sketch).
+    """
     below = df.where(F.col(energy) < 0)
-    medians = below.groupBy(*by).agg(F.median(energy).alias("_median"))
+    medians = below.groupBy(*by).agg((F.median(energy) if exact else F.percentile_approx(energy, 0.5, 10_000)).alias("_median"))
     return below.join(medians, list(by)).where(F.abs(F.col(energy) - F.col("_median")) <= within).drop("_median")
 
 

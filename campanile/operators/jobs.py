@@ -11,6 +11,11 @@ from campanile.constants import STATUSES
 from campanile.schemas import HEAVY_COLUMNS, JOBS, with_missing_columns
 
 
+def shuffled(key: str, seed: int) -> Column:
+    """What a seeded random order sorts by: the md5 of ``seed:key``, the same in any engine."""
+    return F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col(key).cast("string"), F.lit(""))).cast("binary"))
+
+
 def fails() -> Column:
     return F.coalesce("fail_count", F.lit(0))
 
@@ -57,7 +62,7 @@ def tracked_running(jobs: DataFrame) -> DataFrame:
 def ready(jobs: DataFrame, n: int, cap: int | None = None, seed: int | None = None) -> DataFrame:
     """At most n jobs to run, under the cap: the first by id, or a seeded sample."""
     out = under_cap(jobs.where(F.col("status") == "to_run"), cap)
-    order = ["id"] if seed is None else [F.xxhash64("id", F.lit(seed)), "id"]
+    order = ["id"] if seed is None else [shuffled("id", seed), "id"]
     return out.orderBy(*order).limit(n)
 
 
@@ -99,6 +104,38 @@ def marked(jobs: DataFrame, markers: DataFrame) -> DataFrame:
     return both.withColumn("blocked", F.col("stored_dir").isNotNull() | F.col("marker_dir").isNotNull()).withColumn("reason", F.coalesce("stored_reason", "reason")).drop("stored_dir", "stored_reason", "marker_dir")
 
 
+def spin_runs(rows: DataFrame, spin: str = "spin_1", statuses: Sequence[int] = (1,)) -> DataFrame:
+    """Runs of one spin (``spin_<n>``) whose status is among some codes."""
+    return rows.where((F.col("spin") == spin) & F.col("status").isin(*statuses))
+
+
+def verified(jobs: DataFrame, metrics: DataFrame) -> DataFrame:
+    """Completed jobs whose metrics (job_dir, success) say so too: only these are backed up."""
+    good = metrics.where("success").select("job_dir").distinct()
+    return jobs.where("status = 'completed'").join(good, "job_dir", "left_semi").select(jobs.columns)
+
+
+def completed_energies(jobs: DataFrame) -> DataFrame:
+    """Completed jobs with an energy, in the seven columns that analyses take."""
+    return jobs.where("status = 'completed' and final_energy is not null").select("id", "orig_index", "elements", "charge", "spin", "geometry", "final_energy")
+
+
+def seeded_jobs(jobs: DataFrame, files: DataFrame, part: float | None = None, seed: int = 42, status: str = "to_run") -> DataFrame:
+    """New jobs from completed ones whose directory holds a valid seed (files: a listing): fresh ids, nothing measured yet.
+
+    ``seed_dir`` is the directory that seeds a job. part: only a seeded fraction of them, one at least.
+    """
+    from campanile.operators.ranges import ranked
+    from campanile.operators.sampling import fraction
+
+    good = seed_check(files).where("valid").select("job_dir")
+    rows = jobs.where("status = 'completed'").join(good, "job_dir", "left_semi")
+    rows = rows if part is None else fraction(rows, part, "id", seed)
+    kept = [c for c in ("orig_index", "elements", "natoms", "charge", "spin", "geometry") if c in jobs.columns]
+    numbered, _ = ranked(rows.select("id", *kept, F.col("job_dir").alias("seed_dir")).withColumnRenamed("id", "_old"), "_old", "id")
+    return numbered.select("id", *kept, F.lit(status).alias("status"), F.lit(0).alias("fail_count"), "seed_dir")
+
+
 def seed_check(files: DataFrame) -> DataFrame:
     """(job_dir, valid, reason) from a listing (job_dir, rel_path, size): a seed needs its gradient, orbitals and output files."""
     has = lambda end: F.coalesce(F.bool_or(F.col("rel_path").endswith(end) & (F.col("size") > 0)), F.lit(False))

@@ -12,9 +12,11 @@ from campanile.functions.paths import sanitized, strip_functional
 
 
 def last_by(df: DataFrame, key: str, order: str) -> DataFrame:
-    """The row of each key with the greatest order."""
-    w = Window.partitionBy(key).orderBy(F.desc(order))
-    return df.withColumn("_rank", F.row_number().over(w)).where("_rank = 1").drop("_rank")
+    """The row of each key with the greatest order (NULL is the least); ties go to the greatest hash of the row, by an aggregate that starts in each task."""
+    others = [c for c in df.columns if c != key]
+    hashed = F.xxhash64(*[c for c in others if not df.schema[c].dataType.typeName() == "map"])
+    best = F.max_by(F.struct(*others), F.struct(F.col(order), hashed)).alias("_best")
+    return df.groupBy(key).agg(best).select(key, "_best.*").select(df.columns)
 
 
 def spine(tables: Sequence[DataFrame], key: str) -> DataFrame:

@@ -59,11 +59,14 @@ def statistics(df: DataFrame, columns: Sequence[str], by: Sequence[str] = (), ex
     return df.groupBy(*by).agg(*_stat_columns(columns, exact))
 
 
-def metrics_summary(jobs: DataFrame, columns: Sequence[str] = ("final_energy", "max_forces", "scf_steps", "wall_time")) -> DataFrame:
-    """Statistics of completed jobs with forces, and the core hours of those with both cores and wall time (NULL without any)."""
+def metrics_summary(jobs: DataFrame, columns: Sequence[str] = ("final_energy", "max_forces", "scf_steps", "wall_time"), exact: bool = True) -> DataFrame:
+    """Statistics of completed jobs with forces, and the core hours of those with both cores and wall time (NULL without any).
+
+    It is one group: for billions of jobs take ``exact=False``, and medians come from a sketch of bounded size.
+    """
     base = jobs.where("status = 'completed' and max_forces is not null")
     hours = F.sum(F.col("wall_time") * F.col("n_cores")) / 3600
-    stats = _stat_columns([c for c in columns if c in jobs.columns])
+    stats = _stat_columns([c for c in columns if c in jobs.columns], exact)
     return base.agg(*stats, *([hours.alias("core_hours")] if "n_cores" in jobs.columns else []))
 
 

@@ -7,9 +7,12 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from campanile.operators.jobs import shuffled
+from campanile.operators.ranges import ranked
+
 
 def sample(df: DataFrame, n: int, key: str, seed: int) -> DataFrame:
-    return df.orderBy(F.xxhash64(key, F.lit(seed)), key).limit(n)
+    return df.orderBy(shuffled(key, seed), key).limit(n)
 
 
 def fraction(df: DataFrame, part: float, key: str, seed: int = 42) -> DataFrame:
@@ -20,10 +23,10 @@ def fraction(df: DataFrame, part: float, key: str, seed: int = 42) -> DataFrame:
 
 def stratified(df: DataFrame, first: str, n: int = 100, most_first: int = 50, key: str = "id", seed: int = 42) -> DataFrame:
     """At most ``most_first`` rows for which the condition ``first`` holds, the rest of n from the others."""
-    flagged = df.withColumn("_first", F.coalesce(F.expr(first), F.lit(False)))
-    w = Window.partitionBy("_first").orderBy(F.xxhash64(key, F.lit(seed)), key)
-    ranked = flagged.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= F.when(F.col("_first"), most_first).otherwise(n))
-    return ranked.orderBy(F.desc("_first"), "_rank").limit(n).drop("_first", "_rank")
+    flagged = df.withColumns({"_first": F.coalesce(F.expr(first), F.lit(False)), "_order": shuffled(key, seed)})
+    take = lambda hit, most: flagged.where(hit).orderBy("_order", key).limit(most)  # noqa: E731  a top-k: each task keeps that many
+    both = take(F.col("_first"), most_first).unionByName(take(~F.col("_first"), n))
+    return both.orderBy(F.desc("_first"), "_order", key).limit(n).drop("_first", "_order")
 
 
 def shard_by_fractions(df: DataFrame, fractions: Sequence[float], names: Sequence[str], key: str = "orig_index", seed: int = 42) -> DataFrame:
@@ -41,11 +44,11 @@ def shard_by_fractions(df: DataFrame, fractions: Sequence[float], names: Sequenc
     h = df.withColumn("_h", F.xxhash64(key, F.lit(seed))).withColumn("_b", F.shiftrightunsigned("_h", 52))
     counts = h.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))  # 4096 rows at most
     starts = counts.select("_b", F.coalesce(F.sum("_n").over(Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_start"))
-    ranked = h.join(F.broadcast(starts), "_b").withColumn("_rank", F.col("_start") + F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)))
+    placed = h.join(F.broadcast(starts), "_b").withColumn("_rank", F.col("_start") + F.row_number().over(Window.partitionBy("_b").orderBy("_h", key)))
     shard = F.lit(names[-1])
     for end, name in reversed(list(zip(ends, names, strict=False))):
         shard = F.when(F.col("_rank") <= end, name).otherwise(shard)
-    return ranked.withColumn("shard", shard).drop("_h", "_b", "_start", "_rank")
+    return placed.withColumn("shard", shard).drop("_h", "_b", "_start", "_rank")
 
 
 def top_per_group(df: DataFrame, by: Sequence[str], value: str, k: int, tie: str) -> DataFrame:
@@ -69,6 +72,15 @@ def chunked(df: DataFrame, index: str, value: str, size: int) -> DataFrame:
 
 
 def sessions(df: DataFrame, n: int, order: str, done: DataFrame | None = None) -> DataFrame:
-    """What is not done yet, dealt out in n runs of consecutive rows (by hash bucket and order)."""
+    """What is not done yet, dealt out in n runs of consecutive rows, the first ones a row longer where it doesn't come out even.
+
+    A row's run follows from its rank, which comes from counts of ranges of the order.
+    """
     rest = df if done is None else df.join(done, order, "left_anti")
-    return rest.withColumn("session", F.ntile(n).over(Window.orderBy(order)))
+    numbered, rows = ranked(rest, order, "_rank")
+    size, more = divmod(rows, n)
+    at = F.col("_rank") - 1
+    run = F.floor(at / (size + 1))
+    if size:
+        run = F.when(at < more * (size + 1), run).otherwise(F.lit(more) + F.floor((at - more * (size + 1)) / size))
+    return numbered.withColumn("session", (run + 1).cast("int")).drop("_rank")

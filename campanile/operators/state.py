@@ -1,6 +1,7 @@
 """The job table's state changes, each a plan from one snapshot to the next.
 
-Nothing is changed in place: the caller writes the new snapshot. ``now`` is a parameter wherever a change is dated.
+Nothing is changed in place: the caller writes the new snapshot. Every change takes ``now``; with it, the rows that are changed, and
+no others, get it as ``updated_at``.
 """
 
 from __future__ import annotations
@@ -11,15 +12,19 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from campanile.constants import MARKER_MESSAGE, ORPHAN_MESSAGE
+from campanile.functions.values import marker_message
 from campanile.operators.jobs import fails
 
 #: Marks an argument that was not given, where NULL is a value.
 UNSET = object()
 
 
-def change(jobs: DataFrame, where: Column, **values) -> DataFrame:
-    """jobs with the given columns set on the rows that ``where`` selects (a NULL condition selects nothing)."""
+def change(jobs: DataFrame, where: Column, now: Column | None = None, **values) -> DataFrame:
+    """jobs with the given columns, and with ``now`` also updated_at, set on the rows that ``where`` selects (a NULL condition selects nothing)."""
     hit = F.coalesce(where, F.lit(False))
+    if now is not None:
+        values["updated_at"] = now
     to = {c: F.when(hit, v if isinstance(v, Column) else F.lit(v)).otherwise(F.col(c)).cast(jobs.schema[c].dataType) for c, v in values.items() if c in jobs.columns}
     return jobs.withColumns(to)
 
@@ -46,11 +51,9 @@ def set_status(
         values["fail_count"] = fails() + 1
     if worker is not UNSET:
         values["worker_id"] = worker
-    if now is not None:
-        values["updated_at"] = now
     # the condition is fixed before status changes under it
     fixed = flagged.withColumn("_hit", hit)
-    return change(fixed, F.col("_hit"), **values).select(columns)
+    return change(fixed, F.col("_hit"), now, **values).select(columns)
 
 
 def set_many(jobs: DataFrame, changes: Sequence[dict]) -> DataFrame:
@@ -58,11 +61,15 @@ def set_many(jobs: DataFrame, changes: Sequence[dict]) -> DataFrame:
     return reduce(lambda df, c: set_status(df, **c), changes, jobs)
 
 
-def sparse_merge(jobs: DataFrame, updates: DataFrame, key: str = "id") -> DataFrame:
+def sparse_merge(jobs: DataFrame, updates: DataFrame, key: str = "id", now: Column | None = None) -> DataFrame:
     """Columns of updates where they aren't NULL; the last of repeated keys is the caller's to choose."""
     changed = [c for c in updates.columns if c != key and c in jobs.columns]
+    if not changed:
+        return jobs
     u = updates.select(key, *[F.col(c).alias(f"_new_{c}") for c in changed])
-    return jobs.join(u, key, "left").withColumns({c: F.coalesce(f"_new_{c}", c) for c in changed}).select(jobs.columns)
+    out = jobs.join(u, key, "left")
+    given = reduce(lambda a, b: a | b, [F.col(f"_new_{c}").isNotNull() for c in changed])
+    return change(out, given, now, **{c: F.coalesce(f"_new_{c}", c) for c in changed}).select(jobs.columns)
 
 
 def upsert(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
@@ -70,7 +77,7 @@ def upsert(table: DataFrame, rows: DataFrame, key: str) -> DataFrame:
     return table.join(rows.select(key).distinct(), key, "left_anti").unionByName(rows, allowMissingColumns=True).select(table.columns)
 
 
-def claim(jobs: DataFrame, n: int, worker: str | None = None, cap: int | None = None, seed: int | None = None) -> tuple[DataFrame, DataFrame]:
+def claim(jobs: DataFrame, n: int, worker: str | None = None, cap: int | None = None, seed: int | None = None, now: Column | None = None) -> tuple[DataFrame, DataFrame]:
     """(next snapshot, claimed rows as they are afterwards): at most n jobs to run under the cap go to running.
 
     By id, or in seeded random order. One driver writes snapshots, so two claims can't take the same job.
@@ -78,32 +85,32 @@ def claim(jobs: DataFrame, n: int, worker: str | None = None, cap: int | None =
     from campanile.operators.jobs import ready
 
     picked = ready(jobs, n, cap, seed).select("id")
-    after = set_status(jobs, picked, "running", worker=worker, only_if="to_run")
+    after = set_status(jobs, picked, "running", worker=worker, only_if="to_run", now=now)
     return after, after.join(picked, "id", "left_semi")
 
 
-def reset(jobs: DataFrame, statuses: Sequence[str] = ("failed",), cap: int | None = None) -> DataFrame:
+def reset(jobs: DataFrame, statuses: Sequence[str] = ("failed",), cap: int | None = None, now: Column | None = None) -> DataFrame:
     """Jobs of the statuses under the cap back to to_run: message and worker cleared, one failure more."""
     hit = F.col("status").isin(*statuses)
     if cap is not None:
         hit = hit & (fails() < cap)
     fixed = jobs.withColumn("_hit", hit)
-    return change(fixed, F.col("_hit"), status="to_run", error_message=None, worker_id=None, fail_count=fails() + 1).select(jobs.columns)
+    return change(fixed, F.col("_hit"), now, status="to_run", error_message=None, worker_id=None, fail_count=fails() + 1).select(jobs.columns)
 
 
-def fail_over_cap(jobs: DataFrame, cap: int) -> DataFrame:
+def fail_over_cap(jobs: DataFrame, cap: int, now: Column | None = None) -> DataFrame:
     """Every job with so many failures fails, completed ones too."""
-    return change(jobs, fails() >= cap, status="failed")
+    return change(jobs, fails() >= cap, now, status="failed")
 
 
-def reset_missing(jobs: DataFrame, existing: DataFrame, statuses: Sequence[str] = ("running", "failed", "timeout"), key: str = "rendered_dir") -> DataFrame:
+def reset_missing(jobs: DataFrame, existing: DataFrame, statuses: Sequence[str] = ("running", "failed", "timeout"), key: str = "rendered_dir", now: Column | None = None) -> DataFrame:
     """Jobs of the statuses whose directory isn't listed (existing: job_dir) back to to_run, one failure more."""
     dirs = existing.select(F.col("job_dir").alias("_dir"), F.lit(True).alias("_there")).distinct()
     seen = jobs.join(dirs, F.col(key) == F.col("_dir"), "left").withColumn("_hit", F.col("status").isin(*statuses) & F.col("_there").isNull())
-    return change(seen, F.col("_hit"), status="to_run", fail_count=fails() + 1, worker_id=None).select(jobs.columns)
+    return change(seen, F.col("_hit"), now, status="to_run", fail_count=fails() + 1, worker_id=None).select(jobs.columns)
 
 
-def fix_unlinked(jobs: DataFrame, probes: DataFrame, max_retries: int | None = None) -> DataFrame:
+def fix_unlinked(jobs: DataFrame, probes: DataFrame, max_retries: int | None = None, now: Column | None = None) -> DataFrame:
     """Jobs without a directory (probes: id, found_dir, code): linked with the disk's status, else reset; at the retry cap left alone."""
     seen = jobs.join(probes, "id", "left")
     target = F.col("status").isin("to_run", "completed", "failed", "timeout") & F.col("job_dir").isNull()
@@ -113,11 +120,11 @@ def fix_unlinked(jobs: DataFrame, probes: DataFrame, max_retries: int | None = N
         lost = lost & (fails() < max_retries)
     seen = seen.withColumns({"_found": found, "_lost": lost})
     from_code = F.when(F.col("code") == 1, "completed").when(F.col("code") == -1, "failed").when(F.col("code") == -2, "timeout").otherwise("to_run")
-    linked = change(seen, F.col("_found"), job_dir=F.col("found_dir"), status=from_code)
-    return change(linked, F.col("_lost"), status="to_run", fail_count=fails() + 1).select(jobs.columns)
+    linked = change(seen, F.col("_found"), now, job_dir=F.col("found_dir"), status=from_code)
+    return change(linked, F.col("_lost"), now, status="to_run", fail_count=fails() + 1).select(jobs.columns)
 
 
-def recover_orphans(jobs: DataFrame, active: DataFrame | None, codes: DataFrame) -> DataFrame:
+def recover_orphans(jobs: DataFrame, active: DataFrame | None, codes: DataFrame, now: Column | None = None) -> DataFrame:
     """Running jobs whose worker isn't active: done, failed or reset by the disk's code (codes: id, code, reason).
 
     active (worker_id) is None when the scheduler could not be asked: then nothing changes, unlike an empty set.
@@ -125,29 +132,37 @@ def recover_orphans(jobs: DataFrame, active: DataFrame | None, codes: DataFrame)
     if active is None:
         return jobs
     alive = active.select("worker_id", F.lit(True).alias("_alive")).distinct()
-    seen = jobs.join(alive, "worker_id", "left").join(codes.select("id", F.col("code").alias("_code"), F.col("reason").alias("_reason")), "id", "left")
-    dead = (F.col("status") == "running") & F.col("worker_id").isNotNull() & F.col("_alive").isNull()
-    seen = seen.withColumns({"_done": dead & (F.col("_code") == 1), "_bad": dead & (F.col("_code") == -1), "_lost": dead & ~F.coalesce(F.col("_code").isin(1, -1), F.lit(False))})
-    out = change(seen, F.col("_done"), status="completed", worker_id=None)
-    out = change(out, F.col("_bad"), status="failed", error_message=F.coalesce("_reason", F.lit("failed on disk")), fail_count=fails() + 1, worker_id=None)
-    return change(out, F.col("_lost"), status="to_run", fail_count=fails() + 1, worker_id=None).select(jobs.columns)
-
-
-def reconcile(jobs: DataFrame, codes: DataFrame, markers: DataFrame | None = None) -> DataFrame:
+    # only ids, codes and reasons of the dead are joined on to the jobs
+    tracked = jobs.where("status = 'running' and worker_id is not null").select("id", "worker_id")
+    dead = tracked.join(alive, "worker_id", "left_anti").join(codes.select("id", "code", "reason"), "id", "left")
+    dead = dead.select("id", F.coalesce(F.when(F.col("code").isin(1, -1), F.col("code")), F.lit(0)).alias("_code"), F.col("reason").alias("_reason"))
+    seen = jobs.join(dead, "id", "left")
+    code = F.col("_code")
+    to = F.when(code == 1, "completed").when(code == -1, "failed").otherwise("to_run")
+    message = F.when(code == -1, F.coalesce("_reason", F.lit(ORPHAN_MESSAGE))).otherwise(F.col("error_message"))
+    count = F.when(code == 1, F.col("fail_count")).otherwise(fails() + 1)
+    return change(seen, code.isNotNull(), now, status=to, error_message=message, fail_count=count, worker_id=None).select(jobs.columns)
+
+
+def reconcile(jobs: DataFrame, codes: DataFrame, markers: DataFrame | None = None, now: Column | None = None) -> DataFrame:
     """The snapshot after a look at the disk (codes: id, code): 1 completed, -1 failed, -2 timeout, 0 running.
 
     A marker (id, reason) overrides: failed, and one failure more if that is a change. Doing it twice changes nothing more.
     """
-    seen = jobs.join(codes.select("id", F.col("code").alias("_code")), "id", "left")
+    disk = codes.select("id", F.col("code").alias("_code"))
     m = markers.select("id", F.col("reason").alias("_reason"), F.lit(True).alias("_marked")) if markers is not None else None
-    seen = seen.join(m, "id", "left") if m is not None else seen.withColumns({"_reason": F.lit(None).cast("string"), "_marked": F.lit(None).cast("boolean")})
+    # both are about as many rows as directories; the jobs are joined once
+    disk = disk.join(m, "id", "full") if m is not None else disk.withColumns({"_reason": F.lit(None).cast("string"), "_marked": F.lit(None).cast("boolean")})
+    seen = jobs.join(disk, "id", "left")
     marked = F.coalesce("_marked", F.lit(False))
     by_code = F.when(F.col("_code") == 1, "completed").when(F.col("_code") == -1, "failed").when(F.col("_code") == -2, "timeout").when(F.col("_code") == 0, "running").otherwise(F.col("status"))
-    seen = seen.withColumn("_to", F.when(marked, "failed").otherwise(by_code)).withColumn("_bump", marked & (F.col("status") != "failed"))
-    message = F.concat(F.lit("do not rerun"), F.coalesce(F.concat(F.lit(": "), F.left(F.nullif(F.trim("_reason"), F.lit("")), F.lit(200))), F.lit("")))
-    out = change(seen, marked, error_message=message, worker_id=None)
-    out = change(out, F.col("_bump"), fail_count=fails() + 1)
-    return change(out, F.lit(True), status=F.col("_to")).select(jobs.columns)
+    to = F.when(marked, "failed").otherwise(by_code)
+    message = F.when(marked, marker_message(MARKER_MESSAGE, F.col("_reason"))).otherwise(F.col("error_message"))
+    worker = F.when(~marked, F.col("worker_id"))
+    count = F.when(marked & (F.col("status") != "failed"), fails() + 1).otherwise(F.col("fail_count"))
+    seen = seen.withColumns({"_to": to, "_message": message, "_worker": worker, "_count": count})
+    differs = reduce(lambda a, b: a | b, [~F.col(a).eqNullSafe(F.col(b)) for a, b in (("status", "_to"), ("error_message", "_message"), ("worker_id", "_worker"))])
+    return change(seen.withColumn("_hit", differs), F.col("_hit"), now, status=F.col("_to"), error_message=F.col("_message"), worker_id=F.col("_worker"), fail_count=F.col("_count")).select(jobs.columns)
 
 
 def changed(before: DataFrame, after: DataFrame, column: str = "status") -> DataFrame:
@@ -156,15 +171,15 @@ def changed(before: DataFrame, after: DataFrame, column: str = "status") -> Data
     return a.join(b, "id").where(~F.col("old").eqNullSafe(F.col("new")))
 
 
-def write_metrics(jobs: DataFrame, extracted: DataFrame) -> DataFrame:
+def write_metrics(jobs: DataFrame, extracted: DataFrame, now: Column | None = None) -> DataFrame:
     """Extracted rows (id, error, metric columns): good ones merge sparsely, an error fails its job with one failure more."""
-    good = sparse_merge(jobs, extracted.where("error is null").drop("error"))
+    good = sparse_merge(jobs, extracted.where("error is null").drop("error"), now=now)
     bad = extracted.where("error is not null").select("id", F.col("error").alias("_error"))
     seen = good.join(bad, "id", "left")
-    return change(seen, F.col("_error").isNotNull(), status="failed", error_message=F.concat(F.lit("Metrics parse error: "), F.col("_error")), fail_count=fails() + 1).select(jobs.columns)
+    return change(seen, F.col("_error").isNotNull(), now, status="failed", error_message=F.concat(F.lit("Metrics parse error: "), F.col("_error")), fail_count=fails() + 1).select(jobs.columns)
 
 
-def apply_outcomes(jobs: DataFrame, outcomes: DataFrame) -> DataFrame:
+def apply_outcomes(jobs: DataFrame, outcomes: DataFrame, now: Column | None = None) -> DataFrame:
     """Job outcomes in one step (id, status, bump, message, metric columns): the worker is released, metrics merge sparsely.
 
     Applying the same outcomes to a snapshot that has them already is the caller's to avoid: fail counts would rise again.
@@ -174,7 +189,7 @@ def apply_outcomes(jobs: DataFrame, outcomes: DataFrame) -> DataFrame:
     seen = jobs.join(o, "id", "left")
     there = F.col("_status").isNotNull()
     values = {"status": F.col("_status"), "worker_id": None, "fail_count": fails() + F.when(F.col("_bump"), 1).otherwise(0), "error_message": F.coalesce("_message", "error_message")}
-    return change(seen, there, **values, **{c: F.coalesce(f"_m_{c}", c) for c in metrics}).select(jobs.columns)
+    return change(seen, there, now, **values, **{c: F.coalesce(f"_m_{c}", c) for c in metrics}).select(jobs.columns)
 
 
 def classify_claimed(claimed: DataFrame) -> DataFrame:

@@ -15,11 +15,11 @@ from campanile.sources import tables
 S = SparkSession
 #: The files that line items stand for.
 _NAMES = ["a.logs", "orca.out", "b.out", "orca_atom7.out", "c.out.gz", "flux-1.out", "x.engrad"]
-_FILES = "files AS (SELECT l_orderkey AS job_dir, CASE l_linenumber " + " ".join(f"WHEN {i + 1} THEN '{n}'" for i, n in enumerate(_NAMES)) + " END AS name, l_shipdate AS mtime, CAST(l_quantity AS BIGINT) % 10 AS size FROM lineitem WHERE l_partkey % 3 <> 0)"
+_FILES = "files AS (SELECT l_orderkey AS job_dir, CASE l_linenumber " + " ".join(f"WHEN {i + 1} THEN '{n}'" for i, n in enumerate(_NAMES)) + " END AS name, l_shipdate AS mtime, CAST(l_quantity AS BIGINT) % 10 AS size FROM lineitem)"
 
 
 def files(spark: S, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem").where("l_partkey % 3 <> 0")
+    li = table(spark, d, "lineitem")
     name = F.element_at(F.array(*[F.lit(n) for n in _NAMES]), F.col("l_linenumber"))
     return li.select(F.col("l_orderkey").alias("job_dir"), name.alias("name"), F.col("l_shipdate").alias("mtime"), (F.col("l_quantity").cast("long") % 10).alias("size"))
 
@@ -34,9 +34,38 @@ def _(spark: S, d: str) -> DataFrame:
     return extraction.termination_logs(files(spark, d)).select("job_dir", "name")
 
 
-@query("seed_check", f"WITH {_FILES}, g AS (SELECT job_dir, bool_or(name = 'x.engrad' AND size > 0) AS e, bool_or(name LIKE '%.out' AND size > 0) AS o FROM files GROUP BY job_dir) SELECT job_dir, false AS valid, CASE WHEN NOT e THEN 'missing engrad' ELSE 'missing gbw' END AS reason FROM g")
+#: Seeds: every line item is a file of its order's directory, of one of three kinds, a few of them empty.
+_SEEDS = "seeds AS (SELECT l_orderkey AS job_dir, concat('x', CASE WHEN l_linenumber % 4 < 2 THEN '.engrad' WHEN l_linenumber % 4 = 2 THEN '.gbw' ELSE '.out' END) AS rel_path, CASE WHEN l_partkey % 9 = 0 THEN 0 ELSE l_partkey % 100 + 1 END AS size FROM lineitem)"
+_CHECKED = f"{_SEEDS}, g AS (SELECT job_dir, bool_or(rel_path = 'x.engrad' AND size > 0) AS e, bool_or(rel_path = 'x.gbw' AND size > 0) AS w, bool_or(rel_path = 'x.out' AND size > 0) AS o FROM seeds GROUP BY job_dir), c AS (SELECT job_dir, e AND w AND o AS valid, CASE WHEN NOT e THEN 'missing engrad' WHEN NOT w THEN 'missing gbw' WHEN NOT o THEN 'missing out' END AS reason FROM g)"
+
+
+def seeds(spark: S, d: str) -> DataFrame:
+    kind = F.when(F.col("l_linenumber") % 4 < 2, ".engrad").when(F.col("l_linenumber") % 4 == 2, ".gbw").otherwise(".out")
+    size = F.when(F.col("l_partkey") % 9 == 0, 0).otherwise(F.col("l_partkey") % 100 + 1)
+    return table(spark, d, "lineitem").select(F.col("l_orderkey").alias("job_dir"), F.concat(F.lit("x"), kind).alias("rel_path"), size.alias("size"))
+
+
+@query("seed_check", f"WITH {_CHECKED} SELECT job_dir, valid, reason FROM c")
+def _(spark: S, d: str) -> DataFrame:
+    return sel.seed_check(seeds(spark, d))
+
+
+@query("seeded_jobs", f", {_CHECKED} SELECT row_number() OVER (ORDER BY id) AS id, orig_index, 'to_run' AS status, CAST(0 AS INTEGER) AS fail_count, id AS seed_dir FROM jobs JOIN c ON c.job_dir = id WHERE valid AND status = 'completed'")
+def _(spark: S, d: str) -> DataFrame:
+    done = jobs(spark, d).withColumn("job_dir", F.col("id"))
+    return sel.seeded_jobs(done, seeds(spark, d)).select("id", "orig_index", "status", "fail_count", "seed_dir")
+
+
+@query("spin_runs", "SELECT doc_id, spin FROM (SELECT doc_id, concat('spin_', doc_id % 4) AS spin, doc_id % 3 - 1 AS status FROM documents) WHERE spin = 'spin_1' AND status IN (1, -1)")
+def _(spark: S, d: str) -> DataFrame:
+    rows = table(spark, d, "documents").select("doc_id", F.concat(F.lit("spin_"), (F.col("doc_id") % 4).cast("string")).alias("spin"), (F.col("doc_id") % 3 - 1).alias("status"))
+    return sel.spin_runs(rows, "spin_1", (1, -1)).select("doc_id", "spin")
+
+
+@query("verified_backups", ", m AS (SELECT DISTINCT concat('/data/run/job_', l_orderkey) AS job_dir FROM lineitem WHERE l_returnflag = 'R') SELECT id FROM jobs WHERE status = 'completed' AND job_dir IN (SELECT job_dir FROM m)")
 def _(spark: S, d: str) -> DataFrame:
-    return sel.seed_check(files(spark, d).withColumnRenamed("name", "rel_path"))
+    m = table(spark, d, "lineitem").select(F.concat(F.lit("/data/run/job_"), F.col("l_orderkey").cast("string")).alias("job_dir"), (F.col("l_returnflag") == "R").alias("success"))
+    return sel.verified(jobs(spark, d), m).select("id")
 
 
 @query("folded_statuses", "SELECT l_orderkey, CAST(CASE WHEN bool_and(c = 1) THEN 1 WHEN bool_or(c = -2) THEN -2 WHEN bool_or(c = -1) THEN -1 ELSE 0 END AS INTEGER) AS code FROM (SELECT l_orderkey, CASE WHEN l_partkey % 5 < 3 THEN 1 WHEN l_partkey % 5 = 3 THEN -1 WHEN l_partkey % 10 = 4 THEN -2 ELSE 0 END AS c FROM lineitem) GROUP BY l_orderkey")
@@ -167,6 +196,6 @@ def _(spark: S, d: str) -> DataFrame:
     return spark.range(1, 104).select(F.col("id").cast("int").alias("z")).select("z", chemistry.symbol(F.col("z")).alias("e"))
 
 
-@query("sampled_jobs")
+@query("sampled_jobs", "SELECT id FROM jobs ORDER BY md5('3:' || CAST(id AS VARCHAR)), id LIMIT 100")
 def _(spark: S, d: str) -> DataFrame:
     return sampling.sample(jobs(spark, d).select("id"), 100, "id", 3)

@@ -239,12 +239,12 @@ def _(spark: S, d: str) -> DataFrame:
     return sampling.shard_by_fractions(docs, [0.5, 0.3, 0.2], ["a", "b", "c"], "doc_id").groupBy("shard").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("fraction_sample")
+@query("fraction_sample", ", c AS (SELECT id FROM jobs WHERE status = 'completed') SELECT id FROM c ORDER BY md5('42:' || CAST(id AS VARCHAR)), id LIMIT (SELECT greatest(1, CAST(round_even(0.05 * count(*), 0) AS BIGINT)) FROM c)")
 def _(spark: S, d: str) -> DataFrame:
     return sampling.fraction(jobs(spark, d).where("status = 'completed'").select("id"), 0.05, "id")
 
 
-@query("stratified_sample")
+@query("stratified_sample", ", f AS (SELECT id, status, status NOT IN ('completed', 'failed') AS first, md5('42:' || CAST(id AS VARCHAR)) AS o FROM jobs), r AS (SELECT *, row_number() OVER (PARTITION BY first ORDER BY o, id) AS n FROM f) SELECT id, status FROM r WHERE n <= CASE WHEN first THEN 50 ELSE 100 END ORDER BY first DESC, o, id LIMIT 100")
 def _(spark: S, d: str) -> DataFrame:
     return sampling.stratified(jobs(spark, d).select("id", "status"), "status not in ('completed', 'failed')")
 

@@ -41,7 +41,7 @@ def _(spark: S, d: str) -> DataFrame:
     return outputs(spark, d).select("doc_id", logs.failure_reason(F.col("text")).alias("reason"))
 
 
-@query("regex_last_value", f"WITH {_TEXT} SELECT doc_id, CASE WHEN doc_id % 5 = 3 THEN -7.25 END AS energy, CASE WHEN doc_id % 5 = 3 THEN CAST(doc_id % 9 + 4 AS INTEGER) END AS scf_steps FROM t")
+@query("regex_last_value", f"WITH {_TEXT} SELECT doc_id, list_last(list_transform(list_filter(string_split(text, chr(10)), lambda x: contains(x, 'FINAL SINGLE POINT ENERGY')), lambda x: CAST(regexp_extract(x, '(\\S+)\\s*$', 1) AS DOUBLE))) AS energy, CAST(list_sum(list_transform(regexp_extract_all(text, 'SCF CONVERGED AFTER\\s+(\\d+)\\s+CYCLES', 1), lambda x: CAST(x AS INTEGER))) AS INTEGER) AS scf_steps FROM t")
 def _(spark: S, d: str) -> DataFrame:
     return outputs(spark, d).select("doc_id", logs.final_energy(F.col("text")).alias("energy"), logs.scf_steps(F.col("text")).alias("scf_steps"))
 
@@ -59,13 +59,18 @@ def _(spark: S, d: str) -> DataFrame:
     return table(spark, d, "documents").select("doc_id", F.size(lines(F.coalesce("text", F.lit("")))).alias("n"))
 
 
-@query("section_forward_fill", "WITH c AS (SELECT conv_id, turn, CASE WHEN role = 'user' THEN left(text, 20) END AS h FROM conversations) SELECT conv_id, turn, last_value(h IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS section FROM c")
+@query(
+    "section_forward_fill",
+    r"""WITH c AS (SELECT conv_id, turn, replace(coalesce(text, ''), chr(10), ' ') AS line, role = 'user' AND trim(replace(coalesce(text, ''), chr(10), ' ')) <> '' AS head FROM conversations)
+SELECT conv_id, line_no, line, section FROM (SELECT conv_id, turn AS line_no, line, head, last_value(CASE WHEN head THEN line END IGNORE NULLS) OVER (PARTITION BY conv_id ORDER BY turn) AS section FROM c) WHERE NOT head""",
+)
 def _(spark: S, d: str) -> DataFrame:
-    from pyspark.sql import Window
+    from campanile.sources.texts import forward_filled
 
-    w = Window.partitionBy("conv_id").orderBy("turn").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    head = F.when(F.col("role") == "user", F.left("text", F.lit(20)))
-    return table(spark, d, "conversations").select("conv_id", "turn", F.last(head, ignorenulls=True).over(w).alias("section"))
+    line = F.replace(F.coalesce("text", F.lit("")), F.lit("\n"), F.lit(" "))
+    head = (F.col("role") == "user") & (F.trim(line) != "")
+    lines = table(spark, d, "conversations").select("conv_id", F.col("turn").alias("line_no"), F.when(head, F.concat(F.lit("# "), line)).otherwise(line).alias("line"))
+    return forward_filled(lines, r"^# (.*)$", "section", "conv_id").select("conv_id", "line_no", "line", "section")
 
 
 @query("json_field_stats", "SELECT event_type, count(*) AS n, CAST(sum(CAST(json_extract_string(props, '$.k') AS INTEGER)) AS BIGINT) AS total FROM events GROUP BY event_type")
@@ -117,9 +122,9 @@ def _(spark: S, d: str) -> DataFrame:
     return jobs(spark, d).select("id", paths.swap_root(F.col("job_dir"), "/data/run", "/new/chunk").alias("dir"))
 
 
-@query("bag_compare", "SELECT doc_id, list_sort(w) = list_sort(list_reverse(w)) AS same, len(w) > 0 AS any_ FROM (SELECT doc_id, string_split(left(text, 40), ' ') AS w FROM documents)")
+@query("bag_compare", "SELECT doc_id, list_sort(w) = list_sort(list_reverse(w)) AS same, len(w) > 0 AS any_ FROM (SELECT doc_id, string_split(text, ' ') AS w FROM documents)")
 def _(spark: S, d: str) -> DataFrame:
-    w = F.split(F.left("text", F.lit(40)), " ")
+    w = F.split("text", " ")
     return table(spark, d, "documents").select("doc_id", chemistry.bags_match(w, F.reverse(w)).alias("same"), (F.size(w) > 0).alias("any_"))
 
 

@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from campanile.operators.ranges import ranked
 from campanile.functions.chemistry import spin_ladder
 from campanile.functions.xyz import elements
 from campanile.schemas import JOBS, validate_extra_columns, with_missing_columns
@@ -52,7 +53,7 @@ def structures(
         *[F.col(c).try_cast(types[t.split()[0]]).alias(c) for c, t in extra.items()],
     )
     out = out.where(F.col("spin").isNull() | (F.col("spin") >= 1))
-    return with_row_number(out.orderBy("orig_index"), "_n").withColumn("id", F.col("_n") + 1).drop("_n").transform(lambda d: with_missing_columns(d, JOBS)).select(*JOBS.names, *extra)
+    return ranked(out, "orig_index", "id")[0].transform(lambda d: with_missing_columns(d, JOBS)).select(*JOBS.names, *extra)
 
 
 def read_cache(texts: DataFrame, schema: str) -> DataFrame:

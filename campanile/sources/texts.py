@@ -24,8 +24,31 @@ def _folder(path: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(path, r"/[^/]*$", ""), r"^file:(//)?", "")
 
 
+def unpacked(raw: bytes, piece: int = 1 << 12) -> tuple[bytes, bool]:
+    """(all that a gzip file holds, member after member, up to where it is damaged or cut off; whether it is whole).
+
+    Zeros after a member are padding, anything else is damage.
+    """
+    out, at, ok = [], 0, False
+    while at < len(raw):
+        unpack = zlib.decompressobj(31)
+        try:
+            while at < len(raw) and not unpack.eof:
+                out.append(unpack.decompress(raw[at : at + piece]))
+                at += min(piece, len(raw) - at)
+        except zlib.error:
+            return b"".join(out), False
+        ok = unpack.eof
+        rest = unpack.unused_data + raw[at:]
+        at = len(raw) - len(rest.lstrip(b"\0"))
+    return b"".join(out), ok
+
+
 def read_zipped(spark: SparkSession, path: str, glob: str = "*.gz") -> DataFrame:
-    """As read_texts for gzip files of which some may be cut off: these give the text up to there, and ``whole`` is false."""
+    """As read_texts for gzip files, of one member or several, of which some may be damaged or cut off: these give the text up to there, and ``whole`` is false.
+
+    Files of no bytes at all are passed over by the reader.
+    """
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path)
     rows = df.select(_folder(F.col("path")).alias("job_dir"), F.substring_index("path", "/", -1).alias("name"), F.col("modificationTime").alias("mtime"), F.col("length").alias("size"), "content")
 
@@ -33,11 +56,7 @@ def read_zipped(spark: SparkSession, path: str, glob: str = "*.gz") -> DataFrame
         for pdf in batches:
             texts, whole = [], []
             for raw in pdf["content"]:
-                unpack = zlib.decompressobj(31)
-                try:
-                    data, ok = unpack.decompress(raw) + unpack.flush(), unpack.eof
-                except zlib.error:
-                    data, ok = b"", False
+                data, ok = unpacked(raw)
                 texts.append(data.decode("utf-8", "replace"))
                 whole.append(ok)
             yield pdf.drop(columns="content").assign(text=texts, whole=whole)

@@ -8,6 +8,7 @@ from campanile.operators import extraction
 
 NOW = dt.datetime(2024, 1, 2)
 OLD, NEW = dt.datetime(2024, 1, 1), dt.datetime(2024, 1, 1, 23)
+#: Lines in the wording of the outputs that the parsers are for.
 LOG = """ %pal nprocs 4 end nprocs 4
 SCF CONVERGED AFTER  27 CYCLES
 MULLIKEN ATOMIC CHARGES AND SPIN POPULATIONS
@@ -62,6 +63,13 @@ def test_facts(spark):
     assert one(spark, logs.last_cycle(t)) == 7 and one(spark, logs.total_energies(t)) == [-670.5349]
 
 
+def test_one_scan_keeps_the_lines_apart(spark):
+    """A line counts for its first fact only, and lines in a population block for none."""
+    text = "MAX gradient then nprocs 7\nnprocs 3\nnprocs 5\nMULLIKEN ATOMIC CHARGES AND SPIN POPULATIONS\n---\n 0 U : 1.0 2.0\nMAX gradient 0.9\nSum of it\nSCF CONVERGED AFTER 4 CYCLES\nFINAL SINGLE POINT ENERGY none\n"
+    m = one(spark, logs.metrics(F.col("text"), F.col("mtime"), F.lit(NOW)), text)
+    assert (m.max_forces, m.nprocs, m.scf_steps, m.final_energy) == (7.0, 3, 4, None) and m.mulliken.charges == [1.0] and m.loewdin is None
+
+
 def test_no_facts(spark):
     for text in ("", "nothing here", None):
         m = one(spark, logs.metrics(F.col("text"), F.col("mtime"), F.lit(NOW)), text)

@@ -48,6 +48,22 @@ def test_texts(spark, tmp_path):
     assert zipped["y.out.gz"] == (True, 5000) and zipped["z.out.gz"][0] is False
 
 
+def test_zipped_members_and_damage(spark, tmp_path):
+    lines = "".join(f"line {i} {i * i}\n" for i in range(20_000)).encode()
+    one, two = gzip.compress(lines), gzip.compress(b"second\n")
+    broken = bytearray(one)
+    broken[len(one) // 2] ^= 0xFF
+    cases = {"two": one + two, "padded": one + b"\0" * 700 + two + b"\0" * 9, "cut": one + two[:12], "rest": one + b"garbage", "broken": bytes(broken), "none": gzip.compress(b"")}
+    for name, raw in cases.items():
+        (tmp_path / f"{name}.gz").write_bytes(raw)
+    got = {r.name[:-3]: (r.text.encode(), r.whole) for r in texts.read_zipped(spark, str(tmp_path)).collect()}
+    assert got["two"] == got["padded"] == (lines + b"second\n", True)
+    assert got["cut"][0].startswith(lines) and got["cut"][1] is False
+    assert got["rest"] == (lines, False) and got["none"] == (b"", True)
+    text, whole = got["broken"]
+    assert whole is False and len(text) > 1000 and text[:1000] == lines[:1000]
+
+
 def test_blocks(spark):
     df = lambda t: spark.createDataFrame([("p", t)], "path string, text string")
     got = texts.geometry_blocks(df("Geometry for A\nU 0 0 0\nO 0 0 1.8\n\nGeometry for B:\nF 1 2 3\n")).collect()
