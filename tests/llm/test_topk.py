@@ -38,14 +38,53 @@ def test_equals_brute_force(spark, options):
     assert found(spark, rows, query, 10, **options) == brute(rows, query, 10)
 
 
-def test_pruning_sends_less(spark):
-    """Far clusters are not sent to each other's groups."""
-    rng = np.random.default_rng(5)
-    pivots = np.array([[1000.0, 0, 0], [0, 1000.0, 0], [0, 0, 1000.0]])
-    low, high = topk.bounds(pivots, np.array([5.0, 5.0, np.nan]), [[1.0] * 11, [1.0] * 11, [1.0] * 11], 10, 1000.0)
-    d = rng.uniform(0, 10, 50)
-    assert all(low[0, 0] <= x <= high[0, 0] for x in d) and not any(low[0, 1] <= x <= high[0, 1] for x in d)
-    assert not any(low[2, 2] <= x <= high[2, 2] for x in d)
+def space_of(data, ids, k, pivots):
+    norm = float(np.sqrt((data.astype(float) ** 2).sum(axis=1).max()))
+    space = topk.Space(topk._lifted(data[:pivots], norm), norm, ids[:50], data[:50], k)
+    d = space.distances(data, False)
+    space.near = [sorted(d[d.argmin(axis=1) == j, j].tolist())[: k + 1] for j in range(pivots)]
+    return space
+
+
+@pytest.mark.parametrize("spread", [3, 40, 600])
+def test_bounds_keep_all_that_is_needed(spread):
+    """Every one of a query's best rows is sent to its group; where the data is in clusters, most others are not."""
+    rng = np.random.default_rng(spread)
+    centres = rng.integers(-1000, 1000, size=(12, 8))
+    data = centres[rng.integers(12, size=1500)] + rng.integers(-spread, spread + 1, size=(1500, 8))
+    ids, k = np.arange(1500), 10
+    space = space_of(data, ids, k, 30)
+    asked = data[::20]
+    d = space.distances(asked, True)
+    radius = space.radii(asked, ids[::20], d)
+    for groups in (1, 4, 16):
+        group = d[:, :groups].argmin(axis=1)
+        low, high = topk.ranges(d, radius, group, groups)
+        keep = topk.needed(space.distances(data, False), low, high)
+        for q in range(len(asked)):
+            scores = data @ asked[q]
+            scores[q * 20] = np.iinfo(np.int64).min
+            kth = np.sort(scores)[-k]
+            assert keep[scores >= kth, group[q]].all()
+        if spread == 3 and groups == 16:
+            assert keep[:, np.unique(group)].mean() < 0.3
+
+
+def test_groups_follow_the_data():
+    """Clusters are searched in many groups, random directions in one."""
+    rng = np.random.default_rng(3)
+    even = rng.normal(size=(4000, 64)) * 300
+    near = (rng.normal(size=(40, 64)) * 300)[rng.integers(40, size=4000)] + rng.normal(size=(4000, 64))
+    many = lambda x: topk.best_groups(space_of(x.astype(np.int64), np.arange(4000), 10, 64), x[::8].astype(np.int64), np.arange(0, 4000, 8), 400_000, 40_000_000, topk.BLOCK)
+    assert many(even) == 1 and many(near) >= 8
+
+
+def test_hot_vector_and_blocks(spark):
+    """A third of all rows are one vector; groups' blocks are many and small."""
+    rng = np.random.default_rng(9)
+    rows = [(i, [0.25, 0.5, -0.25] if i % 3 == 0 else (rng.normal(size=3) * 2).tolist()) for i in range(900)]
+    query = lambda i: i % 20 == 0
+    assert found(spark, rows, query, 7, block=16, pivots=12) == brute(rows, query, 7)
 
 
 def test_few_rows(spark):
