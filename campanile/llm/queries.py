@@ -208,24 +208,21 @@ def op3_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     r"""
 WITH c AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
-e AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn, role, text) AS pos, role, text,
-             length(regexp_replace(role, '([<\[])(\\*)(\||/?s>|</?SYS>>|/?INST\])', '\1\2\\\3', 'g')) +
-             length(regexp_replace(text, '([<\[])(\\*)(\||/?s>|</?SYS>>|/?INST\])', '\1\2\\\3', 'g')) + 23 AS len FROM c),
-n AS (SELECT *, CAST(ceil(len / 4) AS BIGINT) AS n, pos = 1 AND role = 'system' AS is_system FROM e),
-s AS (SELECT *, coalesce(max(CASE WHEN is_system THEN n END) OVER (PARTITION BY conv_id), 0) AS system FROM n),
-b AS (SELECT *, CASE WHEN is_system THEN 0 ELSE n END AS body, greatest(512 - system - 128, 16) / 2 AS half FROM s),
-p AS (SELECT *, floor((sum(body) OVER (PARTITION BY conv_id ORDER BY pos) - body) / half) AS cell, body > half AS long, sum(n) OVER (PARTITION BY conv_id ORDER BY pos) AS ends FROM b),
-f AS (SELECT *, CASE WHEN pos <= CASE WHEN system > 0 THEN 2 ELSE 1 END THEN 0
-                     WHEN cell <> lag(cell) OVER w OR long OR lag(long) OVER w THEN 1 ELSE 0 END AS starts FROM p WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
-g AS (SELECT *, sum(starts) OVER (PARTITION BY conv_id ORDER BY pos) AS span FROM f),
-h AS (SELECT *, lead(span, 1) OVER w AS s1, lead(ends - n, 1) OVER w AS b1, lead(span, 2) OVER w AS s2, lead(ends - n, 2) OVER w AS b2 FROM g WINDOW w AS (PARTITION BY conv_id ORDER BY pos)),
-t AS (SELECT *, CASE WHEN is_system THEN 0 ELSE CASE WHEN s1 > span AND b1 - (ends - n) <= 128 THEN 1 ELSE 0 END +
-                CASE WHEN s2 > span AND b2 - (ends - n) <= 128 AND NOT coalesce(s2 = s1 AND s1 > span AND b1 - (ends - n) <= 128, false) THEN 1 ELSE 0 END END AS later FROM h)
+e AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS pos, role, text,
+             concat('<|turn|>', regexp_replace(role, '([<\[])(\\*)(\||/?s>|</?SYS>>|/?INST\])', '\1\2\\\3', 'g'), '<|text|>',
+                    regexp_replace(text, '([<\[])(\\*)(\||/?s>|</?SYS>>|/?INST\])', '\1\2\\\3', 'g'), '<|end|>') AS piece FROM c),
+n AS (SELECT *, length(piece) AS len, len(regexp_extract_all(piece, '\p{L}{1,8}|\p{N}{1,3}|[^\p{L}\p{N}\x20\x09-\x0D]')) AS n, pos = 1 AND role = 'system' AS is_system FROM e),
+s AS (SELECT *, coalesce(max(CASE WHEN is_system THEN n END) OVER (PARTITION BY conv_id), 0) AS system, sum(n) OVER (PARTITION BY conv_id ORDER BY pos) - n AS begin FROM n),
+h AS (SELECT *, greatest(512 - system - 128, 16) / 2 AS half FROM s),
+w AS (SELECT *, CASE WHEN NOT is_system THEN floor((begin - system) / half) * 2 + CASE WHEN n > half THEN 1 ELSE 0 END END AS win FROM h),
+a AS (SELECT *, lead(win, 1) OVER o AS w1, lead(begin, 1) OVER o AS b1, lead(win, 2) OVER o AS w2, lead(begin, 2) OVER o AS b2 FROM w WINDOW o AS (PARTITION BY conv_id ORDER BY pos)),
+t AS (SELECT *, CASE WHEN is_system THEN 0 ELSE CASE WHEN w1 > win AND b1 - begin <= 128 THEN 1 ELSE 0 END +
+                CASE WHEN w2 > win AND b2 - begin <= 128 AND NOT coalesce(w2 = w1 AND w1 > win AND b1 - begin <= 128, false) THEN 1 ELSE 0 END END AS later FROM a)
 SELECT conv_id, CAST(count(*) AS BIGINT) AS n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY pos)) AS turns_sha256,
        CAST(coalesce(sum(CASE WHEN role = 'assistant' THEN length(text) END), 0) AS BIGINT) AS loss_chars,
        sha256(coalesce(string_agg(CASE WHEN role = 'assistant' THEN text END, '' ORDER BY pos), '')) AS loss_sha256,
-       CAST(sum(len * (1 + later + CASE WHEN is_system THEN last_span ELSE 0 END)) AS BIGINT) AS formatted_chars
-FROM (SELECT *, max(span) OVER (PARTITION BY conv_id) AS last_span FROM t) GROUP BY conv_id
+       CAST(coalesce(sum(CASE WHEN NOT is_system THEN len * (1 + later) END), 0) + coalesce(max(CASE WHEN is_system THEN len END), 0) * greatest(count(DISTINCT win), 1) AS BIGINT) AS formatted_chars
+FROM t GROUP BY conv_id
 """,
 )
 def op4_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
