@@ -266,3 +266,8 @@ def fold_statuses(codes: Column) -> Column:
     """Of several files' codes: all 1 gives 1; any -2 gives -2; any -1 gives -1; else 0."""
     any_ = lambda c: F.array_contains(codes, F.lit(c))
     return F.when((F.size(codes) > 0) & F.forall(codes, lambda c: c == 1), 1).when(any_(-2), -2).when(any_(-1), -1).otherwise(0)
+
+
+def ended_well(text: Column) -> Column:
+    """Whether the line before the last says that all went well; a text of fewer lines didn't."""
+    return F.coalesce(F.try_element_at(all_lines(text), F.lit(-2)).contains(DONE), F.lit(False))

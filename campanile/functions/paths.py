@@ -136,3 +136,8 @@ def in_scratch_dir(rel_path: Column) -> Column:
 def real_output(name: Column) -> Column:
     """Whether a file shows that its job has started writing output."""
     return ~name.rlike(ATOM_OUTPUT) & (name.rlike(r"\.out$|\.out\.gz$|\.logs$") | (name.startswith("flux-") & name.endswith("out")) | name.isin("sella_status.txt", "sella.log"))
+
+
+def of_optimiser(path: Column) -> Column:
+    """Whether a path's last part names the optimiser, in any case."""
+    return F.lower(F.regexp_extract(path, r"([^/]*)/*$", 1)).contains("sella")

@@ -136,3 +136,20 @@ def run_summary(runs: DataFrame) -> DataFrame:
     out = runs.withColumn("delta_energy", delta)
     good = F.col("delta_energy").isNotNull() & ~F.isnan("delta_energy") & (F.abs("delta_energy") < float("inf")) & (F.col("delta_energy") != 0)
     return out.withColumn("status", F.when(good, F.col("status")).otherwise(0)).select("name", "status", "delta_energy")
+
+
+def metrics_or_errors(dirs: DataFrame, texts: DataFrame, now: Column, hours: float = 6) -> DataFrame:
+    """A row for each directory (job_dir): its facts, or in ``error`` why there are none; one directory's trouble is no other's."""
+    m = metrics(texts, now, hours).withColumn("_there", F.lit(True))
+    out = dirs.select("job_dir").join(m, "job_dir", "left")
+    none = F.col("final_energy").isNull() & F.col("max_forces").isNull() & F.col("scf_steps").isNull()
+    error = F.when(F.col("_there").isNull(), "no output file").when(none & (F.col("termination_status") != 1), "no metrics in output")
+    return out.withColumn("error", error).drop("_there")
+
+
+def start_to_final(starts: DataFrame, finals: DataFrame) -> DataFrame:
+    """(job_dir, rmsd, n) between geometries (job_dir, text) at the start and at the end; NULL where they aren't the same atoms in the same order."""
+    read = lambda df, name: df.select("job_dir", xyz.symbols_and_positions(xyz.atoms(F.col("text"))).alias(name))
+    both = read(starts, "a").join(read(finals, "b"), "job_dir")
+    value = geometry.rmsd(F.col("a.positions"), F.col("b.positions"), F.col("a.symbols"), F.col("b.symbols"))
+    return both.select("job_dir", value.alias("rmsd"), F.size("b.symbols").alias("n"))

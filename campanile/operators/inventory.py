@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from campanile.constants import ATOM_OUTPUT
 from campanile.functions.paths import base_name, extension, file_class, in_scratch_dir, real_output, scratch
 from campanile.operators.sampling import top_per_group
 
@@ -118,3 +119,12 @@ def delete_plan(wanted: DataFrame, existing: DataFrame) -> DataFrame:
     """wanted (job_dir) with whether it is there."""
     there = existing.select("job_dir", F.lit(True).alias("found")).distinct()
     return wanted.distinct().join(there, "job_dir", "left").withColumn("found", F.coalesce("found", F.lit(False)))
+
+
+def probes(listing: DataFrame) -> DataFrame:
+    """What a directory's own files say of it (listing: job_dir, rel_path): is_sella, has_marker, and the number of atomic outputs."""
+    name = F.col("rel_path")
+    any_ = lambda c: F.coalesce(F.bool_or(c), F.lit(False))
+    return listing.groupBy("job_dir").agg(
+        any_(name.isin("sella.log", "opt.traj")).alias("is_sella"), any_(name == ".do_not_rerun.json").alias("has_marker"), F.count(F.when(name.rlike(ATOM_OUTPUT), 1)).alias("atom_outputs")
+    )

@@ -118,3 +118,16 @@ def as_of(left: DataFrame, right: DataFrame, by: Sequence[str], at: str, value:
     b = right.select(*by, at, F.col(value).alias("_v"), F.lit(0).alias("_side"))
     w = Window.partitionBy(*by).orderBy(at, "_side").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     return a.unionByName(b, allowMissingColumns=True).withColumn(f"last_{value}", F.last("_v", ignorenulls=True).over(w)).where("_side = 1").drop("_v", "_side")
+
+
+def by_formula(jobs: DataFrame, spins: DataFrame, name: str = "name") -> DataFrame:
+    """jobs with charge, mult and mults of their sanitised name in a table (formula, charge, mult, mult_list); those it lacks go.
+
+    mult_list is a text such as ``1, 3,5``; where it holds anything but whole numbers, mult stands for it. Of repeated formulas the least row counts.
+    """
+    parts = F.filter(F.transform(F.split("mult_list", ","), F.trim), lambda x: x != "")
+    numbers = F.transform(parts, lambda x: x.try_cast("int"))
+    good = F.col("mult_list").isNotNull() & ~F.exists(numbers, lambda x: x.isNull())
+    mults = F.when(good, numbers).otherwise(F.array(F.col("mult").cast("int")))
+    table = spins.groupBy(F.col("formula").alias("_formula")).agg(F.min(F.struct(F.col("charge"), F.col("mult"), mults.alias("mults"))).alias("_s"))
+    return jobs.join(table, sanitized(F.col(name)) == F.col("_formula")).select(*jobs.columns, "_s.charge", "_s.mult", "_s.mults")

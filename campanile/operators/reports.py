@@ -109,3 +109,8 @@ def profile(timings: DataFrame, slowest: int = 10) -> tuple[DataFrame, DataFrame
     """(totals, the slowest jobs) of extraction timings (job_dir, seconds)."""
     totals = timings.agg(F.count(F.lit(1)).alias("jobs"), F.sum("seconds").alias("seconds"), (F.count(F.lit(1)) / F.sum("seconds")).alias("jobs_per_s"))
     return totals, timings.orderBy(F.desc("seconds"), "job_dir").limit(slowest)
+
+
+def any_valid(rows: DataFrame, by: str, status: str = "status") -> DataFrame:
+    """Of each group whether any of its rows succeeded (status 1)."""
+    return rows.groupBy(by).agg(F.coalesce(F.bool_or(F.col(status) == 1), F.lit(False)).alias("valid"))

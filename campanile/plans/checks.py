@@ -13,6 +13,7 @@ from campanile.plans.registry import jobs, query, table
 from campanile.sources import tables
 
 S = SparkSession
+_DIRS = "dirs AS (SELECT DISTINCT concat('/data/run/job_', l_orderkey) AS job_dir FROM lineitem WHERE l_linenumber = 4)"
 #: The files that line items stand for.
 _NAMES = ["a.logs", "orca.out", "b.out", "orca_atom7.out", "c.out.gz", "flux-1.out", "x.engrad"]
 _FILES = "files AS (SELECT l_orderkey AS job_dir, CASE l_linenumber " + " ".join(f"WHEN {i + 1} THEN '{n}'" for i, n in enumerate(_NAMES)) + " END AS name, l_shipdate AS mtime, CAST(l_quantity AS BIGINT) % 10 AS size FROM lineitem)"
@@ -199,3 +200,33 @@ def _(spark: S, d: str) -> DataFrame:
 @query("sampled_jobs", "SELECT id FROM jobs ORDER BY md5('3:' || CAST(id AS VARCHAR)), id LIMIT 100")
 def _(spark: S, d: str) -> DataFrame:
     return sampling.sample(jobs(spark, d).select("id"), 100, "id", 3)
+
+
+@query("transfer_summary", f", {_DIRS}, t AS (SELECT DISTINCT job_dir FROM jobs WHERE status = 'completed' AND trim(job_dir) <> ''), s AS (SELECT count(*) AS n, count(d.job_dir) AS existing, min(t.job_dir) AS a, max(t.job_dir) AS z FROM t LEFT JOIN dirs d USING (job_dir)) SELECT n, existing, n - existing AS missing, regexp_replace(a[1:list_max(list_filter(range(0, least(length(a), length(z)) + 1), lambda i: a[1:i] = z[1:i]))], '[^/]*$', '') AS prefix FROM s")
+def _(spark: S, d: str) -> DataFrame:
+    from campanile.sinks import transfer_list, transfer_summary
+
+    there = table(spark, d, "lineitem").where("l_linenumber = 4").select(F.concat(F.lit("/data/run/job_"), F.col("l_orderkey").cast("string")).alias("job_dir"))
+    return transfer_summary(transfer_list(jobs(spark, d).where("status = 'completed'")), there)
+
+
+@query("directory_probes", "SELECT l_orderkey AS job_dir, bool_or(l_linenumber IN (2, 5)) AS is_sella, bool_or(l_linenumber = 6) AS has_marker, count(*) FILTER (l_linenumber = 3) AS atom_outputs FROM lineitem GROUP BY l_orderkey")
+def _(spark: S, d: str) -> DataFrame:
+    names = ["orca.out", "sella.log", "orca_atom12.out", "orca_atomx.out", "opt.traj", ".do_not_rerun.json", "sub/sella.log"]
+    li = table(spark, d, "lineitem").select(F.col("l_orderkey").alias("job_dir"), F.element_at(F.array(*map(F.lit, names)), F.col("l_linenumber").cast("int")).alias("rel_path"))
+    return inventory.probes(li)
+
+
+@query("valid_groups", "SELECT l_orderkey, bool_or(l_partkey % 5 = 0) AS valid FROM lineitem GROUP BY l_orderkey")
+def _(spark: S, d: str) -> DataFrame:
+    li = table(spark, d, "lineitem").select("l_orderkey", F.when(F.col("l_partkey") % 5 == 0, 1).when(F.col("l_partkey") % 5 == 1, None).otherwise(-1).alias("status"))
+    return reports.any_valid(li, "l_orderkey")
+
+
+@query("jobs_in_folders", "SELECT page_id, contains(lower(regexp_extract(url, '([^/]*)/*$', 1)), 'sella') AS optimiser FROM (SELECT page_id, CASE page_id % 3 WHEN 0 THEN concat(url, '/run_Sella/') WHEN 1 THEN concat('/sella/', page_id) ELSE url END AS url FROM pages)")
+def _(spark: S, d: str) -> DataFrame:
+    from campanile.functions.paths import of_optimiser
+
+    k = F.col("page_id")
+    url = F.when(k % 3 == 0, F.concat("url", F.lit("/run_Sella/"))).when(k % 3 == 1, F.concat(F.lit("/sella/"), k.cast("string"))).otherwise(F.col("url"))
+    return table(spark, d, "pages").select("page_id", of_optimiser(url).alias("optimiser"))

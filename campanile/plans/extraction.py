@@ -401,3 +401,36 @@ def _(spark: S, d: str) -> DataFrame:
 @query("atomic_numbers", "SELECT p_partkey, CASE p_size WHEN 1 THEN 'H' WHEN 8 THEN 'O' WHEN 26 THEN 'Fe' END AS e FROM part WHERE p_size IN (1, 8, 26)")
 def _(spark: S, d: str) -> DataFrame:
     return table(spark, d, "part").where("p_size in (1, 8, 26)").select("p_partkey", chemistry.symbol(F.col("p_size")).alias("e"))
+
+
+_START, _FINAL = (text_of("'2'", "'c'", "'U 0.0 0.0 0.0'", f"concat(CASE WHEN doc_id % 6 = 5 THEN '{last}' ELSE 'O' END, ' 0.0 0.0 ', {_n(z)}, '.5')") for last, z in (("O", "doc_id % 9"), ("F", "doc_id % 4")))
+
+
+@query("start_to_final", "SELECT doc_id, CASE WHEN doc_id % 6 < 5 THEN round(abs(doc_id % 9 - doc_id % 4) / sqrt(2), 9) END AS rmsd, CAST(2 AS INTEGER) AS n FROM documents")
+def _(spark: S, d: str) -> DataFrame:
+    got = extraction.start_to_final(made(spark, d, _START), made(spark, d, _FINAL))
+    return got.select(F.col("job_dir").alias("doc_id"), F.round("rmsd", 9).alias("rmsd"), "n")
+
+
+@query("metrics_or_errors", f"WITH {_O}, m AS (SELECT doc_id, {_FACTS} FROM o WHERE doc_id % 3 > 0) SELECT d.doc_id, m.final_energy, CASE WHEN m.doc_id IS NULL THEN 'no output file' END AS error FROM documents d LEFT JOIN m USING (doc_id)")
+def _(spark: S, d: str) -> DataFrame:
+    got = extraction.metrics_or_errors(made(spark, d, OUTPUT), made(spark, d, OUTPUT, "doc_id % 3 > 0"), F.expr(NOW))
+    return got.select(F.col("job_dir").alias("doc_id"), "final_energy", "error")
+
+
+@query("ended_well", f"WITH {_O} SELECT doc_id, contains(lines[-1], 'ORCA TERMINATED NORMALLY') AS well FROM o")
+def _(spark: S, d: str) -> DataFrame:
+    rows = made(spark, d, OUTPUT).select("job_dir", F.concat("text", F.lit("\nTOTAL RUN TIME: 0 days\n")).alias("text"))
+    return rows.select(F.col("job_dir").alias("doc_id"), logs.ended_well(F.col("text")).alias("well"))
+
+
+@query(
+    "jobs_from_inputs",
+    f"""WITH {files('i', INPUT)}, j AS (SELECT doc_id, concat('/an/m', lpad(CAST(doc_id AS VARCHAR), 9, '0')) AS dir, text, lines FROM i)
+SELECT row_number() OVER (ORDER BY dir) AS id, row_number() OVER (ORDER BY dir) - 1 AS orig_index, regexp_extract(dir, '([^/]*)$', 1) AS molecule_name, 'U;O' AS elements, CAST(2 AS INTEGER) AS natoms, CAST(regexp_extract(text, 'xyz (-?[0-9]+) ([0-9]+)', 1) AS INTEGER) AS charge,
+       CAST(regexp_extract(text, 'xyz (-?[0-9]+) ([0-9]+)', 2) AS INTEGER) AS spin, 'to_run' AS status, CAST(0 AS INTEGER) AS fail_count, '2024-01-02' AS created FROM j""",
+)
+def _(spark: S, d: str) -> DataFrame:
+    rows = made(spark, d, INPUT).select(F.concat(F.lit("/an/m"), F.lpad(F.col("job_dir").cast("string"), 9, "0")).alias("job_dir"), "text")
+    got = tables.jobs_from_inputs(rows, F.expr(NOW))
+    return got.select("id", "orig_index", "molecule_name", "elements", "natoms", "charge", "spin", "status", "fail_count", F.date_format("created_at", "yyyy-MM-dd").alias("created"))

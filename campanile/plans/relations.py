@@ -229,3 +229,17 @@ def _(spark: S, d: str) -> DataFrame:
 def _(spark: S, d: str) -> DataFrame:
     v = F.when(F.col("n_regionkey") > 1, "match").when(F.col("n_regionkey") == 1, "mismatch").otherwise("unverifiable")
     return rep.gate(table(spark, d, "nation").select(v.alias("verdict")))
+
+
+@query(
+    "spins_by_formula",
+    """WITH s AS (SELECT concat('M', p_partkey) AS formula, p_size % 3 - 1 AS charge, p_size % 4 + 1 AS mult, CASE p_size % 3 WHEN 0 THEN '1, 3,5' WHEN 1 THEN 'x,3' ELSE '2' END AS l FROM part WHERE p_partkey % 2 = 0)
+SELECT p_partkey, charge, mult, CASE l WHEN '1, 3,5' THEN '1;3;5' WHEN '2' THEN '2' ELSE CAST(mult AS VARCHAR) END AS mults FROM part JOIN s ON formula = concat('M', p_partkey)""",
+)
+def _(spark: S, d: str) -> DataFrame:
+    part, size = table(spark, d, "part"), F.col("p_size")
+    name = F.concat(F.lit("M"), F.col("p_partkey").cast("string"))
+    text = F.when(size % 3 == 0, "1, 3,5").when(size % 3 == 1, "x,3").otherwise("2")
+    spins = part.where("p_partkey % 2 = 0").select(name.alias("formula"), (size % 3 - 1).alias("charge"), (size % 4 + 1).alias("mult"), text.alias("mult_list"))
+    got = joins.by_formula(part.select("p_partkey", name.alias("name")), spins)
+    return got.select("p_partkey", "charge", "mult", F.array_join(F.col("mults").cast("array<string>"), ";").alias("mults"))

@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+import os
+import uuid
+from collections.abc import Iterator, Mapping, Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from campanile.functions import xyz
 from campanile.operators.sampling import chunked
+from campanile.schemas import JOBS, validate_extra_columns, with_missing_columns
 
 
 def write_snapshot(jobs: DataFrame, path: str) -> DataFrame:
@@ -17,8 +21,44 @@ def write_snapshot(jobs: DataFrame, path: str) -> DataFrame:
     return jobs.sparkSession.read.schema(jobs.schema).parquet(path).select(jobs.columns)
 
 
-def append_rows(path: str, rows: DataFrame) -> None:
-    rows.write.mode("append").partitionBy("status").parquet(path)
+def with_defaults(rows: DataFrame, now: Column | None = None, extra: Mapping[str, str] | None = None) -> DataFrame:
+    """Rows as they are inserted: the job table's columns, to_run and no failures unless they say otherwise, dated; extra columns are checked."""
+    names = validate_extra_columns(dict(extra or {}))
+    if missing := [c for c in names if c not in rows.columns]:
+        raise ValueError(f"missing columns: {missing}")
+    at = now if now is not None else F.current_timestamp()
+    full = with_missing_columns(rows, JOBS)
+    given = {"status": F.coalesce("status", F.lit("to_run")), "fail_count": F.coalesce("fail_count", F.lit(0)), "created_at": F.coalesce("created_at", at), "updated_at": F.coalesce("updated_at", at)}
+    return full.withColumns(given).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in JOBS], *names)
+
+
+def append_rows(path: str, rows: DataFrame, now: Column | None = None, extra: Mapping[str, str] | None = None) -> None:
+    """New rows of the job table, with defaults."""
+    with_defaults(rows, now, extra).write.mode("append").partitionBy("status").parquet(path)
+
+
+def write_files(files: DataFrame) -> DataFrame:
+    """Writes each row's text to its path (path, text) on a mounted file system, whole or not at all, and tells (path, error).
+
+    Executors write beside the target and rename, so readers never see half a file and a task that is run again only replaces it. Nothing is
+    written until the result is used.
+    """
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for pdf in batches:
+            errors: list[str | None] = []
+            for path, text in zip(pdf["path"], pdf["text"], strict=True):
+                beside = f"{path}.{uuid.uuid4().hex}.tmp"
+                try:
+                    with open(beside, "w", encoding="utf-8", newline="") as f:
+                        f.write(text or "")
+                    os.replace(beside, path)
+                    errors.append(None)
+                except OSError as e:
+                    errors.append(f"{type(e).__name__}: {e.strerror}")
+            yield pd.DataFrame({"path": pdf["path"], "error": pd.Series(errors, dtype=object)})
+
+    return files.select("path", "text").mapInPandas(run, "path string, error string")
 
 
 def write_shards(df: DataFrame, path: str, shard: str = "shard") -> None:
@@ -91,3 +131,14 @@ def destinations(paths: DataFrame, root: str, target: str, column: str = "job_di
 
 def transfer_list(jobs: DataFrame) -> DataFrame:
     return jobs.where((F.trim("job_dir") != "") & F.col("job_dir").isNotNull()).select("job_dir").distinct().orderBy("job_dir")
+
+
+def transfer_summary(paths: DataFrame, existing: DataFrame) -> DataFrame:
+    """One row on a transfer list (job_dir): how many directories, how many of them exist (existing: job_dir), and the folder they have in common."""
+    there = existing.select(F.col("job_dir").alias("_dir")).distinct()
+    seen = paths.join(there, F.col("job_dir") == F.col("_dir"), "left")
+    out = seen.agg(F.count(F.lit(1)).alias("n"), F.count("_dir").alias("existing"), F.min("job_dir").alias("_a"), F.max("job_dir").alias("_z"))
+    # what the first and the last in order have in common, all have
+    same = F.filter(F.sequence(F.lit(0), F.least(F.length("_a"), F.length("_z"))), lambda i: F.substring(F.col("_a"), F.lit(1), i) == F.substring(F.col("_z"), F.lit(1), i))
+    common = F.regexp_replace(F.left("_a", F.array_max(same)), r"[^/]*$", "")
+    return out.select("n", "existing", (F.col("n") - F.col("existing")).alias("missing"), common.alias("prefix"))

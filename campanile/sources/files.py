@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import sqlite3
 from collections.abc import Iterator
 
@@ -129,3 +130,34 @@ def read_spark_listing(spark: SparkSession, path: str) -> DataFrame:
     """A listing by Spark's own reader, for any store it knows; links are followed, empty folders unseen."""
     df = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(path).select("path", "length", "modificationTime")
     return df.select(F.regexp_replace("path", r"/[^/]*$", "").alias("job_dir"), F.substring_index("path", "/", -1).alias("rel_path"), F.col("length").alias("size"), F.col("modificationTime").alias("mtime"), F.lit(False).alias("is_symlink"))
+
+
+def matching_jobs(df: DataFrame, glob: str = "job_*", column: str = "job_dir") -> DataFrame:
+    """Rows whose directory's own name matches a pattern of ``*`` and ``?``."""
+    pattern = "".join({"*": ".*", "?": "."}.get(c, re.escape(c)) for c in glob)
+    return df.where(F.regexp_extract(column, r"([^/]*)/*$", 1).rlike(f"^{pattern}$"))
+
+
+def read_npy(spark: SparkSession, path: str, glob: str = "*.npy") -> DataFrame:
+    """(path, shape, values, error) of ``.npy`` files of numbers, values in row order as doubles. Pickled objects are refused, never loaded."""
+    import io
+
+    import numpy as np
+
+    df = spark.read.format("binaryFile").option("recursiveFileLookup", True).option("pathGlobFilter", glob).load(path).select("path", "content")
+
+    def one(raw: bytes) -> tuple[list[int] | None, list[float] | None, str | None]:
+        try:
+            a = np.load(io.BytesIO(raw), allow_pickle=False)
+            return list(a.shape), a.astype(float).ravel().tolist(), None
+        except (ValueError, TypeError, EOFError, OSError) as e:
+            return None, None, f"{type(e).__name__}: {e}"[:200]
+
+    def run(batches: Iterator) -> Iterator:
+        import pandas as pd
+
+        for pdf in batches:
+            rows = [one(raw) for raw in pdf["content"]]
+            yield pd.DataFrame({"path": pdf["path"], "shape": [r[0] for r in rows], "values": [r[1] for r in rows], "error": [r[2] for r in rows]})
+
+    return df.mapInPandas(run, "path string, shape array<long>, values array<double>, error string")

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from campanile.operators.ranges import ranked
 from campanile.functions.chemistry import spin_ladder
-from campanile.functions.xyz import elements
+from campanile.functions.xyz import charge_and_multiplicity, elements, input_atoms, to_text
 from campanile.schemas import JOBS, validate_extra_columns, with_missing_columns
 
 
@@ -87,3 +87,26 @@ def stacked(frames: Sequence[DataFrame], name: str = "chunk") -> DataFrame:
     from functools import reduce
 
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), [f.withColumn(name, F.lit(i)) for i, f in enumerate(frames)])
+
+
+def jobs_from_inputs(texts: DataFrame, now: Column | None = None) -> DataFrame:
+    """The job table of input decks (job_dir, text), numbered by directory: charge, multiplicity and geometry from the deck, and ``molecule_name``, the directory's."""
+    from campanile.sinks import with_defaults
+
+    a = input_atoms(F.col("text"))
+    cm = charge_and_multiplicity(F.col("text"))
+    name = F.regexp_extract("job_dir", r"([^/]*)/*$", 1)
+    rows = texts.select("job_dir", name.alias("molecule_name"), a.alias("a"), cm.alias("cm")).where(F.size("a") > 0)
+    rows = ranked(rows, "job_dir", "id")[0]
+    made = rows.select(
+        "id", (F.col("id") - 1).alias("orig_index"), F.array_join(F.transform("a", lambda x: x["element"]), ";").alias("elements"), F.size("a").alias("natoms"),
+        F.col("cm.charge").alias("charge"), F.col("cm.mult").alias("spin"), to_text(F.col("a"), F.col("molecule_name")).alias("geometry"), "molecule_name",
+    )
+    return with_defaults(made, now, {"molecule_name": "TEXT"})
+
+
+def create_jobs(spark: SparkSession, csv: str, path: str, extra: Mapping[str, str] | None = None, now: Column | None = None, **columns: str) -> DataFrame:
+    """From a CSV to a written job table in one call; the table as it is read back."""
+    from campanile.sinks import write_snapshot
+
+    return write_snapshot(structures(read_structures(spark, csv), extra=extra, now=now, **columns), path)

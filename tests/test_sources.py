@@ -182,6 +182,60 @@ def test_sinks(spark, tmp_path):
     assert spark.read.option("header", True).option("sep", "\t").csv(str(tmp_path / "r")).count() == 3
 
 
+def test_inserts_with_defaults(spark, tmp_path):
+    now = F.lit(dt.datetime(2024, 1, 2))
+    rows = spark.createDataFrame([(1, "U;O", None, "x"), (2, "H", "failed", None)], "orig_index long, elements string, status string, tag string")
+    got = sinks.with_defaults(rows, now, {"tag": "text"}).orderBy("orig_index").collect()
+    assert [(r.status, r.fail_count, r.created_at.day, r.tag, r.final_energy) for r in got] == [("to_run", 0, 2, "x", None), ("failed", 0, 2, None, None)]
+    for bad in ({"no": "TEXT"}, {"t;g": "TEXT"}):
+        with pytest.raises(ValueError):
+            sinks.with_defaults(rows, now, bad)
+    for _ in range(2):
+        sinks.append_rows(str(tmp_path / "jobs"), rows, now)
+    assert spark.read.parquet(str(tmp_path / "jobs")).where("status = 'to_run'").count() == 2
+
+
+def test_files_are_written_whole_or_not(spark, tmp_path):
+    (tmp_path / "a").mkdir()
+    (tmp_path / "a/.do_not_rerun.json").write_text("old")
+    rows = spark.createDataFrame([(str(tmp_path / "a/.do_not_rerun.json"), "{}é\n"), (str(tmp_path / "missing/x.json"), "t"), (str(tmp_path / "a/none"), None)], "path string, text string")
+    got = {os.path.basename(r.path): r.error for r in sinks.write_files(rows).collect()}
+    assert got[".do_not_rerun.json"] is None and got["none"] is None and got["x.json"].startswith("FileNotFoundError")
+    assert (tmp_path / "a/.do_not_rerun.json").read_text() == "{}é\n" and (tmp_path / "a/none").read_text() == ""
+    assert sorted(os.listdir(tmp_path / "a")) == [".do_not_rerun.json", "none"]
+
+
+def test_npy_and_job_folders(spark, tmp_path):
+    import numpy as np
+
+    np.save(tmp_path / "a.npy", np.arange(6).reshape(2, 3))
+    np.save(tmp_path / "b.npy", np.array([{"x": 1}], dtype=object), allow_pickle=True)
+    (tmp_path / "c.npy").write_bytes(b"no")
+    got = {os.path.basename(r.path): r for r in files.read_npy(spark, str(tmp_path)).collect()}
+    assert (got["a.npy"].shape, got["a.npy"]["values"], got["a.npy"].error) == ([2, 3], [0.0, 1.0, 2.0, 3.0, 4.0, 5.0], None)
+    assert got["b.npy"]["values"] is None and "ValueError" in got["b.npy"].error and got["c.npy"].error
+    dirs = spark.createDataFrame([("/r/job_1",), ("/r/job_22/",), ("/r/my.job_3",), ("/job_4/x",)], "job_dir string")
+    assert sorted(r.job_dir for r in files.matching_jobs(dirs).collect()) == ["/r/job_1", "/r/job_22/"]
+    assert [r.job_dir for r in files.matching_jobs(dirs, "my.job_?").collect()] == ["/r/my.job_3"]
+
+
+def test_one_call_and_input_decks(spark, tmp_path):
+    (tmp_path / "s.csv").write_text(f"aligned_csd_core,charge,uhf\n{XYZ},0,1\n,1,1\n{XYZ},2,3\n")
+    jobs = tables.create_jobs(spark, str(tmp_path / "s.csv"), str(tmp_path / "snap"))
+    assert sorted((r.id, r.orig_index, r.status) for r in jobs.collect()) == [(1, 0, "to_run"), (2, 2, "to_run")]
+    decks = spark.createDataFrame([("/r/B", "* xyz 1 2\nU 0 0 0\n*"), ("/r/A/", "* xyz 0 1\nO 0 0 0\nH 0 0 1\n*"), ("/r/C", "none")], "job_dir string, text string")
+    got = tables.jobs_from_inputs(decks).orderBy("id").collect()
+    assert [(r.id, r.orig_index, r.molecule_name, r.elements, r.charge, r.spin) for r in got] == [(1, 0, "A", "O;H", 0, 1), (2, 1, "B", "U", 1, 2)]
+    assert got[0].geometry.split("\n")[:2] == ["2", "A"]
+
+
+def test_transfer_summary(spark):
+    paths = spark.createDataFrame([("/d/run/a1",), ("/d/run/ab",), ("/d/rux",)], "job_dir string")
+    there = spark.createDataFrame([("/d/run/a1",), ("/d/run/a1",), ("/q",)], "job_dir string")
+    assert tuple(sinks.transfer_summary(paths, there).first()) == (3, 1, 2, "/d/")
+    assert tuple(sinks.transfer_summary(paths.limit(0), there).first()) == (0, 0, 0, None)
+
+
 def test_streaming(spark, tmp_path):
     source = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     source.repartition(3).write.parquet(str(tmp_path / "in"))
