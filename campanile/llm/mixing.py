@@ -14,7 +14,8 @@ A leaf's prefix is found in two steps, by sums over 4096 md5 ranges and then in
 
 Defined cases: null levels and texts count as ''; rows that repeat an id are chosen or left together; weights are
 non-negative integers, names without one have ``default_weight``; a document without tokens is chosen with its
-epoch's prefix like any other. An empty table gives an empty result.
+epoch's prefix like any other, and of texts of any length all words are counted. Other columns, whatever their names, are passed on by
+``mix`` and not looked at by ``select``. An empty table gives an empty result.
 """
 
 from __future__ import annotations

@@ -54,9 +54,11 @@ class PieceTokenizer:
         split = [x.get("pattern", {}).get("Regex") for x in (spec.get("pre_tokenizer") or {}).get("pretokenizers", [])]
         if model.get("type") != "BPE" or not suffix or steps != ["NFC", "Replace", "Lowercase"] or split[:1] != [WORD_SPLIT]:
             return None
-        import regex
-        import tiktoken
-
+        try:
+            import regex
+            from tiktoken import Encoding
+        except ImportError:
+            return None
         letters, end = byte_letters(), b"\xff"
 
         def as_bytes(token: str) -> bytes:
@@ -71,7 +73,9 @@ class PieceTokenizer:
         if None in ids or len(ids) != len(ranks) or ids[512:] != sorted(ids[512:]) or max(ids[:512]) > min(ids[512:]):
             return None
         ranks = dict(zip(ranks, ids, strict=True))  # ids rise in the order of merges, so they can be the ranks
-        merge = tiktoken.Encoding("piece", pat_str="x", mergeable_ranks=ranks, special_tokens={})._core_bpe.encode_single_piece
+        core = getattr(Encoding("piece", pat_str="x", mergeable_ranks=ranks, special_tokens={}), "_core_bpe", None)
+        if (merge := getattr(core, "encode_single_piece", None)) is None:  # without the library's merge loop, its way is not to be had
+            return None
         parts = regex.compile(WORD_SPLIT).findall
         special = [t["content"] for t in spec.get("added_tokens", [])]
         odd = re.compile("|".join([f"[^\\x00-{chr(LATIN)}]", "[\\x1c-\\x1f]", *map(re.escape, special)])).search

@@ -16,8 +16,8 @@ counts cover all documents. The counts are tables that grow with the documents,
 rows, so no process holds more than the 5-grams of one block of about ``BLOCK`` characters.
 
 Defined cases: words are runs of letters, lower-cased; a null text, or one without words, has all-zero features.
-Repeated rows count each time; of several labels of one id the greatest counts. Without labels of both classes every
-score is 0.
+Texts of any length are read whole. Repeated rows count each time and are each scored; of several labels of one id the greatest counts. Without
+labels of both classes, as in an empty table, every score is 0. Columns besides those named are not looked at.
 """
 
 from __future__ import annotations
