@@ -4,9 +4,13 @@ from __future__ import annotations
 
 #: Element symbols in order of atomic number.
 ELEMENTS = (
-    "H He Li Be B C N O F Ne Na Mg Al Si P S Cl Ar K Ca Sc Ti V Cr Mn Fe Co Ni Cu Zn Ga Ge As Se Br Kr Rb Sr Y Zr Nb Mo Tc Ru Rh Pd Ag Cd In Sn Sb Te I Xe "
-    "Cs Ba La Ce Pr Nd Pm Sm Eu Gd Tb Dy Ho Er Tm Yb Lu Hf Ta W Re Os Ir Pt Au Hg Tl Pb Bi Po At Rn Fr Ra Ac Th Pa U Np Pu Am Cm Bk Cf Es Fm Md No Lr"
-).split()
+    "H", "He", "Li", "Be", "B", "C", "N", "O", "F", "Ne", "Na", "Mg", "Al", "Si", "P", "S", "Cl", "Ar",
+    "K", "Ca", "Sc", "Ti", "V", "Cr", "Mn", "Fe", "Co", "Ni", "Cu", "Zn", "Ga", "Ge", "As", "Se", "Br", "Kr",
+    "Rb", "Sr", "Y", "Zr", "Nb", "Mo", "Tc", "Ru", "Rh", "Pd", "Ag", "Cd", "In", "Sn", "Sb", "Te", "I", "Xe",
+    "Cs", "Ba", "La", "Ce", "Pr", "Nd", "Pm", "Sm", "Eu", "Gd", "Tb", "Dy", "Ho", "Er", "Tm", "Yb", "Lu", "Hf",
+    "Ta", "W", "Re", "Os", "Ir", "Pt", "Au", "Hg", "Tl", "Pb", "Bi", "Po", "At", "Rn", "Fr", "Ra", "Ac", "Th",
+    "Pa", "U", "Np", "Pu", "Am", "Cm", "Bk", "Cf", "Es", "Fm", "Md", "No", "Lr",
+)
 #: The fifteen actinides.
 ACTINIDES = tuple(ELEMENTS[88:103])
 #: Ligands in the order in which one is chosen to leave.
@@ -20,10 +24,11 @@ STATUSES = ("to_run", "running", "completed", "failed", "timeout")
 LEGACY_READY = "ready"
 #: File names that no cleaning ever touches.
 ESSENTIAL_FILES = (
-    "orca.out orca.out.gz orca.inp orca.inp.gz orca.engrad orca.engrad.gz orca.xyz orca_metrics.json generator_metrics.json orca.property.txt "
-    "orca.property.txt.gz orca.gbw orca.densities flux_job.flux slurm_job.sh sella_status.txt sella.log opt.traj sella_config.json run_sella.py results.pkl "
-    "sella_driver.log .do_not_rerun.json"
-).split()
+    "orca.out", "orca.out.gz", "orca.inp", "orca.inp.gz", "orca.engrad", "orca.engrad.gz",
+    "orca.xyz", "orca_metrics.json", "generator_metrics.json", "orca.property.txt", "orca.property.txt.gz", "orca.gbw",
+    "orca.densities", "flux_job.flux", "slurm_job.sh", "sella_status.txt", "sella.log", "opt.traj",
+    "sella_config.json", "run_sella.py", "results.pkl", "sella_driver.log", ".do_not_rerun.json",
+)
 #: Patterns of essential and of scratch files.
 ATOM_OUTPUT, TRAJECTORY, SCRATCH_DIR = r"^orca_atom\d+\.out$", r"_trj\.xyz$", r"^orca_tmp_[a-zA-Z0-9_]+$"
 SCRATCH_TMP = (r"\.tmp$", r"\.tmp\.\d+$", r"^core$", r"^core\.\d+$", r"\.core$")

@@ -15,7 +15,7 @@ def _schema(spec: list[tuple[str, T.DataType]]) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in spec])
 
 
-#: The job table, a row for each structure.
+#: The job table's columns in order, a row for each structure.
 JOBS = _schema(
     [("id", _L), ("orig_index", _L), ("elements", _S), ("natoms", _I), ("status", _S), ("charge", _I), ("spin", _I), ("geometry", _S), ("job_dir", _S)]
     + [("max_forces", _D), ("scf_steps", _I), ("final_energy", _D), ("error_message", _S), ("fail_count", _I), ("wall_time", _D), ("n_cores", _I)]
@@ -31,6 +31,7 @@ METRICS = _schema(
 )
 GRADIENT = _schema([("total_energy", _D), ("gradient", T.ArrayType(_D)), ("elements", T.ArrayType(_I)), ("coords", T.ArrayType(T.ArrayType(_D))), ("max_force", _D)])
 LISTING = _schema([("job_dir", _S), ("rel_path", _S), ("size", _L), ("mtime", T.TimestampType()), ("is_symlink", T.BooleanType())])
+#: The multi-spin table's columns in order.
 MULTI_SPIN = _schema(
     [("path", _S), ("lot", _S), ("category", _S), ("name", _S), ("spin", _S), ("status", _I), ("note", _S), ("checked_at", _D), ("run_type", _S)]
     + [("final_energy", _D), ("max_force", _D), ("rmsd_start_final", _D), ("final_rms_force", _D), ("has_final_geometry", _I), ("n_opt_steps", _I)]
