@@ -50,3 +50,46 @@ def each_batch(stream: DataFrame, apply: Callable[[DataFrame], DataFrame], out:
         apply(batch).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+
+
+class Buffered:
+    """Outcomes of running jobs as a stream, applied so many at a time.
+
+    Each micro-batch is kept as it came in ``out/pending/batch=N``; once ``every`` rows or more wait, the plan is applied to all of them and written to
+    ``out/flushed/upto=N``. What has been flushed follows from those folders' names, so a batch that is run again after a failure finds its rows and
+    replaces what it had written: nothing is lost, and nothing is applied twice.
+    """
+
+    def __init__(self, spark: SparkSession, out: str, apply: Callable[[DataFrame], DataFrame], every: int = 10) -> None:
+        self.spark, self.out, self.apply, self.every = spark, out.rstrip("/"), apply, every
+
+    def _numbers(self, kind: str, name: str) -> list[int]:
+        jvm = self.spark._jvm
+        pattern = jvm.org.apache.hadoop.fs.Path(f"{self.out}/{kind}/{name}=*/_SUCCESS")
+        found = pattern.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(pattern)
+        return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found or [])
+
+    def _flush(self, upto: int, least: int) -> bool:
+        done = max((n for n in self._numbers("flushed", "upto") if n < upto), default=-1)
+        waiting = [n for n in self._numbers("pending", "batch") if done < n <= upto]
+        if not waiting:
+            return False
+        rows = self.spark.read.parquet(*[f"{self.out}/pending/batch={n}" for n in waiting])
+        if rows.count() < least:
+            return False
+        self.apply(rows).write.mode("overwrite").parquet(f"{self.out}/flushed/upto={upto}")
+        return True
+
+    def write(self, batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{self.out}/pending/batch={batch_id}")
+        self._flush(batch_id, self.every)
+
+    def finish(self) -> bool:
+        """Applies what still waits, however little; whether there was anything."""
+        waiting = self._numbers("pending", "batch")
+        return bool(waiting) and waiting[-1] not in self._numbers("flushed", "upto") and self._flush(waiting[-1], 1)
+
+    def start(self, stream: DataFrame, checkpoint: str, window: str | None = None):
+        """The query; window: a trigger's interval for a stream that goes on, else all that is there now."""
+        writer = stream.writeStream.foreachBatch(self.write).option("checkpointLocation", checkpoint)
+        return (writer.trigger(processingTime=window) if window else writer.trigger(availableNow=True)).start()

@@ -236,6 +236,26 @@ def test_transfer_summary(spark):
     assert tuple(sinks.transfer_summary(paths.limit(0), there).first()) == (0, 0, 0, None)
 
 
+def test_buffered_outcomes(spark, tmp_path):
+    """Flushed ten or more at a time, the rest at the end; a batch that is run again changes nothing."""
+    source = spark.range(64).selectExpr("id", "'completed' AS status")
+    source.repartition(16).write.parquet(str(tmp_path / "in"))
+    buffered = events.Buffered(spark, str(tmp_path / "out"), lambda rows: rows.selectExpr("id", "concat('got ', status) AS status"), 10)
+    stream = events.read_events(spark, str(tmp_path / "in"), "id long, status string", 1)
+    buffered.start(stream, str(tmp_path / "cp")).awaitTermination(240)
+    flushed = lambda: spark.read.parquet(str(tmp_path / "out/flushed"))
+    sizes = [r["count"] for r in flushed().groupBy("upto").count().collect()]
+    assert len(sizes) >= 3 and all(10 <= n < 20 for n in sizes)
+    last = max(r.upto for r in flushed().select("upto").distinct().collect())
+    again = spark.read.parquet(str(tmp_path / f"out/pending/batch={last}")).collect()
+    buffered.write(spark.createDataFrame(again, "id long, status string"), last)
+    assert sorted(r["count"] for r in flushed().groupBy("upto").count().collect()) == sorted(sizes)
+    buffered.finish()
+    assert not buffered.finish()
+    got = flushed().collect()
+    assert sorted(r.id for r in got) == list(range(64)) and {r.status for r in got} == {"got completed"}
+
+
 def test_streaming(spark, tmp_path):
     source = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
     source.repartition(3).write.parquet(str(tmp_path / "in"))
