@@ -34,12 +34,20 @@ def shared_folder(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read again, which cuts its lineage.
 
-    The files outlive lost executors. They stay until the folder is cleaned.
+    The files outlive lost executors. They stay until they are discarded or the folder is cleaned.
     """
     spark = df.sparkSession
     path = f"{shared_folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def discard(table: DataFrame) -> None:
+    """Deletes a written table's files; only for a table that no plan reads any more."""
+    path = table.sparkSession._jvm.org.apache.hadoop.fs.Path(table._written_to)
+    path.getFileSystem(table.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def if_small(table: DataFrame, rows: int = 100_000) -> DataFrame:

@@ -1,7 +1,7 @@
 """Connected components of a graph of links, as DataFrame steps (alternating large-star and small-star).
 
 Every step is a partial-aggregated minimum and a join; links go to a written table between rounds, so a lost
-executor costs one round's tasks at most. Only whether a round changed anything reaches the driver.
+executor costs one round's tasks at most; a round's table goes once the next is there. Only whether a round changed anything reaches the driver.
 """
 
 from __future__ import annotations
@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from campanile.llm.common import written
+from campanile.llm.common import discard, written
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -38,8 +38,9 @@ def components(links: DataFrame, rounds: int = 60) -> DataFrame:
     for _ in range(rounds):
         if not mark[0]:
             break
-        now = written(_star(_star(now, True), False), "links")
+        last, now = now, written(_star(_star(now, True), False), "links")
         before, mark = mark, _mark(now)
+        discard(last)
         if before == mark:
             break
     else:
