@@ -34,13 +34,14 @@ def normalised(text: Column) -> Column:
     return reduce(lambda c, s: F.replace(c, F.lit(s), F.lit("")), ASCII_SPACE, F.coalesce(text, F.lit("")))
 
 
-def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, chars, sha): sha is the SHA-256 of the normalised text as 64 hex digits."""
+def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
+    """(id, chars, sha, more columns): sha is the SHA-256 of the normalised text as 64 hex digits."""
     text = F.col(text_col)
     return docs.select(
         F.col(id_col).alias("id"),
         F.length(F.coalesce(text, F.lit(""))).cast("long").alias("chars"),
         F.sha2(normalised(text), 256).alias("sha"),
+        *more,
     )
 
 
@@ -50,16 +51,15 @@ def filter_words(rows: int, bits_per_row: int = BITS_PER_ROW, max_bits: int = MA
     return min(bits, max_bits) >> 6
 
 
-def place(sha: Column, words: int) -> tuple[Column, Column, Column]:
-    """A digest's word in the filter and its two bits there."""
-    h = F.xxhash64(sha)
+def place(h: Column, words: int) -> tuple[Column, Column, Column]:
+    """The word of a hash in the filter and its two bits there."""
     word = F.pmod(h, F.lit(words))
     return word, F.shiftrightunsigned(h, 52).bitwiseAND(F.lit(63)), F.shiftrightunsigned(h, 58)
 
 
 def repeat_filter(digested: DataFrame, words: int) -> DataFrame:
     """(word, bits): the filter's bits that two rows or more have hit."""
-    word, a, b = place(F.col("sha"), words)
+    word, a, b = place(F.xxhash64("sha"), words)
     hits = digested.select(F.explode(F.array_distinct(F.array(word * 64 + a, word * 64 + b))).alias("bit")).groupBy("bit").count()
     return (
         hits.where(F.col("count") > 1)
@@ -68,10 +68,10 @@ def repeat_filter(digested: DataFrame, words: int) -> DataFrame:
     )
 
 
-def probe(digested: DataFrame, bloom: DataFrame, words: int) -> DataFrame:
-    """Adds ``maybe``: whether the digest's two bits are both in the filter."""
-    word, a, b = place(F.col("sha"), words)
-    held = digested.withColumns({"word": word, "a": a.cast("int"), "b": b.cast("int")})
+def probe(rows: DataFrame, bloom: DataFrame, words: int, h: Column | None = None) -> DataFrame:
+    """Adds ``maybe``: whether both bits of a hash (default: the digest's) are in the filter."""
+    word, a, b = place(F.xxhash64("sha") if h is None else h, words)
+    held = rows.withColumns({"word": word, "a": a.cast("int"), "b": b.cast("int")})
     held = held.join(F.broadcast(bloom), "word", "left")
     both = F.expr("coalesce((bits >> a) & (bits >> b) & 1L, 0L) = 1L")
     return held.withColumn("maybe", both).drop("word", "a", "b", "bits")
@@ -109,24 +109,36 @@ def annotate(
     return single.unionByName(joined)
 
 
+def _key(id_: Column, raw: Column) -> Column:
+    return F.xxhash64(id_, raw)
+
+
 def drop_repeats(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", bits_per_row: int = BITS_PER_ROW, max_bits: int = MAX_BITS
 ) -> DataFrame:
-    """docs without the rows whose text another row repeats; same columns. Unique rows never shuffle."""
+    """docs without the rows whose text another row repeats; same columns. Unique rows never shuffle.
+
+    Texts are normalised and digested once, in the first pass. The second knows a row by its id and a quick hash of its text as it is;
+    a filter of the rows that are in groups of two or more lets all others pass straight through.
+    """
     columns = docs.columns
-    digested = written(digests(docs, id_col, text_col), "digests")
+    raw = F.xxhash64(F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+    digested = written(digests(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), raw.alias("raw")), "id", "text", "raw"), "digests")
     words = filter_words(digested.count(), bits_per_row, max_bits)
-    bloom = written(repeat_filter(digested, words), "bloom")
-    stay = groups_of(probe(digested, bloom, words).where("maybe")).select(
-        F.col("sha").alias("stay_sha"), F.col("keep_id").alias("stay_id"), F.col("keep_chars").alias("stay_chars")
-    )
-    text = F.col(f"row.{text_col}")
+    maybe = probe(digested, written(repeat_filter(digested, words), "bloom"), words).where("maybe")
+    best = F.min(F.struct((-F.col("chars")).alias("less"), F.col("id").alias("id"), F.col("raw").alias("raw"))).alias("best")
+    groups = maybe.groupBy("sha").agg(best, F.count(F.lit(1)).alias("size")).where("size > 1").hint("rebalance")
+    stays = F.col("id").eqNullSafe(F.col("best.id")) & (F.col("raw") == F.col("best.raw"))
+    # a row for each id and text in a group; at most one of a group stays
+    members = written(maybe.join(groups, "sha").groupBy("id", "raw").agg(F.bool_or(stays).alias("stays")), "members")
+    words = filter_words(members.count(), bits_per_row, max_bits)
+    bits = F.array(*[x.cast("int") for x in place(_key(F.col("id"), F.col("raw")), words)[1:]])
+    known = members.select(place(_key(F.col("id"), F.col("raw")), words)[0].alias("word"), F.explode(bits).alias("bit"))
+    known = written(known.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("bits")), "bloom")
     whole = docs.select(F.struct(*[F.col(c) for c in columns]).alias("row"))
-    whole = whole.select("row", F.length(F.coalesce(text, F.lit(""))).cast("long").alias("chars"), F.sha2(normalised(text), 256).alias("sha"))
-    whole = probe(whole, bloom, words)
-    first = (
-        whole.where("maybe")
-        .join(stay, (F.col("sha") == F.col("stay_sha")) & F.col(f"row.{id_col}").eqNullSafe(F.col("stay_id")) & (F.col("chars") == F.col("stay_chars")))
-        .dropDuplicates(["sha"])
-    )
-    return whole.where("not maybe").select("row").unionByName(first.select("row")).select("row.*")
+    text = F.coalesce(F.col(f"row.{text_col}").cast("string"), F.lit(""))
+    whole = whole.select("row", F.col(f"row.{id_col}").alias("of_id"), F.xxhash64(text).alias("of_raw"))
+    whole = probe(whole, known, words, _key(F.col("of_id"), F.col("of_raw")))
+    seen = whole.where("maybe").join(members, F.col("of_id").eqNullSafe(F.col("id")) & (F.col("of_raw") == F.col("raw")), "left")
+    first = seen.where("stays").dropDuplicates(["of_id", "of_raw"])
+    return whole.where("not maybe").select("row").unionByName(seen.where("stays is null").select("row")).unionByName(first.select("row")).select("row.*")
