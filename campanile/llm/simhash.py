@@ -100,7 +100,7 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 class WordHashes:
     """XXH64 of words, kept for the last ``keep`` new words."""
 
-    def __init__(self, keep: int = 1 << 19) -> None:
+    def __init__(self, keep: int = 1 << 17) -> None:
         self.kept: dict[bytes, int] = {}
         self.keep = keep
 
