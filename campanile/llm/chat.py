@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from campanile.llm.common import written
+
 TURN, TEXT, END = "<|turn|>", "<|text|>", "<|end|>"
 #: What may not appear in a text as it is. Everything between the bars, and the marks of other templates.
 CONTROL = r"([<\[])(\\*)(\||/?s>|</?SYS>>|/?INST\])"
@@ -63,6 +65,7 @@ def turns(conversations: DataFrame, budget: int, history_turns: int, history_tok
     rows = rows.withColumn("n", tokens(F.col("piece")))
     in_bucket = Window.partitionBy("key", "bucket").orderBy("place")
     rows = rows.withColumn("sum", F.sum("n").over(in_bucket.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    rows = written(rows, "turns")  # read three times below, mostly without the pieces
     first = F.col("place") == 1
     buckets = rows.groupBy("key", "bucket").agg(F.count(F.lit(1)).alias("size"), F.sum("n").alias("total"), F.max(F.when(first, F.col("role"))).alias("role"), F.max(F.when(first, F.col("n"))).alias("n"))
     of_key = Window.partitionBy("key").orderBy("bucket")
@@ -99,7 +102,8 @@ def format_windows(
 
     loss_spans: (start, length) of the targets' texts in the window's text, in characters, ordered. window: ascending numbers, with gaps.
     """
-    rows = turns(conversations, budget, history_turns, history_tokens)
+    rows = turns(conversations, budget, history_turns, history_tokens).select("key", "conv", "window", "pos", "role", "piece", "later", "is_system", "alone")
+    rows = written(rows, "windows")
     shape = ["key", "conv", "window", "kind", "pos", "role", "piece"]
     body = rows.where(~F.col("is_system"))
     new = body.withColumn("kind", F.lit(2))
