@@ -14,11 +14,11 @@ A cell yields a spanning forest of its links, never all pairs: a pivot takes all
 pivots' groups are compared only if the triangle inequality allows a link and none is known yet. A cell of more
 than ``cell_rows`` is dealt out as pairs of blocks, so one hot cell never lands in one task.
 
-``near_duplicates`` links fingerprints of word shingles within so many bits, and misses none. ``drop_near_copies`` is for
-five-word shingles with a Jaccard similarity of 0.8 or more, which is further than a grid can reach without a miss: its
-candidates are fingerprints of two-word shingles within ``FAR`` bits, searched in enough grids that a pair at ``TYPICAL``
-bits has a chance of ``MISS`` at most to be missed (one within 4 bits has none), and 256 bits of a fingerprint over the set of
-five-word shingles, a measure of that similarity, decide: ``WIDE`` bits at most.
+``near_duplicates`` links fingerprints of word shingles within so many bits, and misses none. ``near_copies`` links every two
+texts whose sets of five-word shingles have a Jaccard similarity of 0.8 or more, and misses none either. That is further than
+a grid can reach, so fingerprints come first and the sets themselves follow: two-word fingerprints within ``DISTANCE`` bits are
+links if 256 bits of a fingerprint over the set differ in ``WIDE`` at most, and classes of these need no comparing inside; then a
+join over the sets finds all links between classes (see ``_similar``). Shingles and sets stand for their 64-bit hashes.
 
 Defined cases: a null text counts as empty; a text without words has fingerprint zero and is linked like any
 other; fewer words than a shingle make one shingle; texts of any length are read whole. Rows with a null id are linked
@@ -36,10 +36,10 @@ from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from campanile.llm.common import map_arrow, split_large, written
+from campanile.llm.common import if_small, map_arrow, split_large, written
 from campanile.llm.components import components
 
 SHINGLE = 4
@@ -50,8 +50,10 @@ SEGMENTS = 32
 SEGMENT_BITS = -math.log2(0.375)
 EVEN = 0x5555555555555555
 _CHUNK = 1 << 16
-#: Of near copies: bits of the two-word fingerprints, bits of the 256 of the five-word ones, and what the search may miss.
-FAR, WIDE, TYPICAL, MISS = 10, 44, 8, 0.11
+#: Of near copies: bits of the 256 over the five-word shingles that a link by fingerprints may differ in. Tests hold links of the small texts to FAR bits.
+WIDE, FAR = 44, 10
+#: Of searches in several partitions of the segments: what may be missed of pairs that lie further apart than a grid's distance.
+MISS = 0.11
 _WORDS = ("w0", "w1", "w2", "w3")
 _BITS_OF = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1, bitorder="little").astype(float)
 
@@ -129,32 +131,56 @@ def _shingles(words: np.ndarray, size: int) -> np.ndarray:
     return _mixed(out)
 
 
+def shingle_set(text: bytes, hashes: WordHashes) -> np.ndarray:
+    """The set of five-word shingles: their hashes, sorted; fewer words make one shingle, none an empty set."""
+    words = text.lower().split()
+    return np.unique(_shingles(hashes.of(words), 5)) if words else np.zeros(0, dtype=np.uint64)
+
+
+def set_hash(five: np.ndarray) -> int:
+    """The hash of a sorted set, as a signed long."""
+    from xxhash import xxh64_intdigest
+
+    got = xxh64_intdigest(five.tobytes(), 42)
+    return got - (1 << 64) if got >= 1 << 63 else got
+
+
 def sketch(text: bytes, hashes: WordHashes) -> np.ndarray:
     """The fingerprint of two-word shingles, repeats included, and four of the set of five-word shingles."""
+    return _sketch_and_set(text, hashes)[0]
+
+
+def _sketch_and_set(text: bytes, hashes: WordHashes) -> tuple[np.ndarray, np.ndarray]:
     words = text.lower().split()
     if not words:
-        return np.zeros(1 + len(_WORDS), dtype=np.uint64)
+        return np.zeros(1 + len(_WORDS), dtype=np.uint64), np.zeros(0, dtype=np.uint64)
     known = hashes.of(words)
     two, five = _shingles(known, 2), np.unique(_shingles(known, 5))
     counts = sum((bit_counts(_mixed(five[at : at + _CHUNK, None] ^ _SALTS)) for at in range(0, len(five), _CHUNK)), np.zeros(64 * len(_WORDS)))
-    return np.r_[_majority(bit_counts(two), len(two)), _majority(counts, len(five))]
+    return np.r_[_majority(bit_counts(two), len(two)), _majority(counts, len(five))], five
 
 
 def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(id, of_text, fp, w0 ... w3) for each row; of_text is a hash of the text."""
+    """(id, of_text, fp, w0 ... w3, whole) for each row; of_text is a hash of the text, whole one of its set of shingles."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
 
         def one(batch: pa.RecordBatch) -> pa.RecordBatch:
-            got = np.stack([sketch(t, hashes) for t in batch.column(2).cast(pa.large_binary()).to_pylist()]).view(np.int64)
-            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *(pa.array(np.ascontiguousarray(got[:, k])) for k in range(5))], ["id", "of_text", "fp", *_WORDS])
+            fps, wholes = [], []
+            for t in batch.column(2).cast(pa.large_binary()).to_pylist():
+                fp, five = _sketch_and_set(t, hashes)
+                fps.append(fp)
+                wholes.append(set_hash(five))
+            got = np.stack(fps).view(np.int64)
+            columns = [*(pa.array(np.ascontiguousarray(got[:, k])) for k in range(5)), pa.array(wholes, pa.int64())]
+            return pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["id", "of_text", "fp", *_WORDS, "whole"])
 
         for batch in batches:
             if batch.num_rows:
                 yield from split_large(batch, one)
 
-    return _keyed(docs, id_col, text_col).mapInArrow(run, "id long, of_text long, fp long, " + ", ".join(f"{w} long" for w in _WORDS))
+    return _keyed(docs, id_col, text_col).mapInArrow(run, "id long, of_text long, fp long, " + ", ".join(f"{w} long" for w in _WORDS) + ", whole long")
 
 
 def _keyed(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -371,6 +397,23 @@ def _stream(distance: int, wide_distance: int | None):
     return run
 
 
+def _in_parts(cells: DataFrame, key: list[str], row: str, cell_rows: int) -> DataFrame:
+    """cells with a column part: those of more than cell_rows rows are dealt out as pairs of blocks, so that any two rows meet in a part."""
+    hot = written(cells.groupBy(*key).count().where(F.col("count") > cell_rows), "hot-cells")
+    many = hot.count()
+    if many:
+        blocks = hot.select(*key, F.ceil(F.col("count") / F.lit(cell_rows)).cast("int").alias("blocks"))
+        # at most 1 row for each cell_rows rows in cells: broadcast only while that is small
+        cells = cells.join(F.broadcast(blocks) if many <= 10_000 else blocks, key, "left")
+        own = F.pmod(F.xxhash64(row), F.coalesce("blocks", F.lit(1))).cast("int")
+        pair = lambda j: (F.least(own, j) * F.lit(1 << 20) + F.greatest(own, j)).cast("long")
+        parts = F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
+            F.transform(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1), pair)
+        )
+        return cells.withColumn("part", F.explode(parts))
+    return cells.withColumn("part", F.lit(0).cast("long"))
+
+
 def links(
     points: DataFrame, distance: int = DISTANCE, masks: Sequence[int] = (), cell_rows: int = CELL_ROWS, wide: Sequence[str] = (), wide_distance: int | None = None
 ) -> DataFrame:
@@ -382,20 +425,7 @@ def links(
     masks = masks or grids(best_groups(rows, distance), distance)
     held = points.withColumn("code", thermometer(F.col("fp")))
     cells = held.select(F.posexplode(F.array(*[F.col("code").bitwiseAND(F.lit(m)) for m in masks])).alias("grid", "key"), "vertex", "fp", *wide)
-    hot = written(cells.groupBy("grid", "key").count().where(F.col("count") > cell_rows), "hot-cells")
-    many = hot.count()
-    if many:
-        blocks = hot.select("grid", "key", F.ceil(F.col("count") / F.lit(cell_rows)).cast("int").alias("blocks"))
-        # at most 1 row for each cell_rows rows in cells: broadcast only while that is small
-        cells = cells.join(F.broadcast(blocks) if many <= 10_000 else blocks, ["grid", "key"], "left")
-        own = F.pmod(F.xxhash64("vertex"), F.coalesce("blocks", F.lit(1))).cast("int")
-        pair = lambda j: (F.least(own, j) * F.lit(1 << 20) + F.greatest(own, j)).cast("long")
-        parts = F.when(F.col("blocks").isNull(), F.array(F.lit(0).cast("long"))).otherwise(
-            F.transform(F.sequence(F.lit(0), F.coalesce("blocks", F.lit(1)) - 1), pair)
-        )
-        cells = cells.withColumn("part", F.explode(parts))
-    else:
-        cells = cells.withColumn("part", F.lit(0).cast("long"))
+    cells = _in_parts(cells, ["grid", "key"], "vertex", cell_rows)
     cells = cells.select(F.col("grid").cast("long").alias("grid"), "key", "part", "vertex", "fp", *wide)
     # few bytes, much work: dealt out by rows, not by size
     tasks = max(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), rows * len(masks) // 100_000)
@@ -430,15 +460,183 @@ def near_duplicates(
     return marked.join(of_fp, "fp", "left").select("id", "of_text", "fp", F.col("kept.id").alias("component"), "kept")
 
 
-def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", far: int = FAR, wide: int = WIDE, cell_rows: int = CELL_ROWS) -> DataFrame:
-    """A row for each row of docs: id, of_text, component, kept, as ``near_duplicates`` has them, by both fingerprints."""
-    key = ["fp", *_WORDS]
+def _hash_rows(docs: DataFrame, id_col: str, text_col: str, whole_sets: bool) -> DataFrame:
+    """Sets of shingles: (whole, size, held), the hashes in an array, or (h, whole, size) for each of the first hashes only.
+
+    First are the smallest floor(size / 5) + max(1, floor(size / 10)). Sets a task has seen lately are left out.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, seen = WordHashes(), set()
+
+        def one(batch: pa.RecordBatch) -> pa.RecordBatch:
+            if len(seen) > _CHUNK:
+                seen.clear()
+            wholes, kept, sizes = [], [], []
+            for t in batch.column(0).cast(pa.large_binary()).to_pylist():
+                five = shingle_set(t, hashes)
+                if (whole := set_hash(five)) in seen:
+                    continue
+                seen.add(whole)
+                wholes.append(whole)
+                sizes.append(len(five))
+                kept.append((five if whole_sets else five[: len(five) // 5 + max(1, len(five) // 10)]).view(np.int64))
+            flat = np.concatenate([np.zeros(0, dtype=np.int64), *kept])
+            many = np.array([len(x) for x in kept], dtype=np.int64)
+            whole, size = np.array(wholes, dtype=np.int64), np.array(sizes, dtype=np.int64)
+            if whole_sets:
+                held = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(many)].astype(np.int32)), pa.array(flat))
+                return pa.RecordBatch.from_arrays([pa.array(whole), pa.array(size), held], ["whole", "size", "held"])
+            return pa.RecordBatch.from_arrays([pa.array(flat), pa.array(np.repeat(whole, many)), pa.array(np.repeat(size, many))], ["h", "whole", "size"])
+
+        for batch in batches:
+            if batch.num_rows:
+                yield from split_large(batch, one)
+
+    texts = docs.select(F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
+    return texts.mapInArrow(run, "whole long, size long, held array<long>" if whole_sets else "h long, whole long, size long")
+
+
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (h, whole, size) sorted by h and whole: a row (whole, size) for each hash that another set has too."""
+    last, met = None, False  # the last row, not yet passed on, and whether it is known to go with one before
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        if last:
+            rows = [np.r_[x, y] for x, y in zip(last, rows, strict=True)]
+        fresh = np.r_[True, (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])]
+        h, whole, size = (x[fresh] for x in rows)
+        same = h[1:] == h[:-1]
+        out = np.r_[met, same] | np.r_[same, False]
+        last, met = [h[-1:], whole[-1:], size[-1:]], bool(out[-1])
+        at = np.flatnonzero(out[:-1])
+        if len(at):
+            yield pa.RecordBatch.from_arrays([pa.array(whole[at]), pa.array(size[at])], ["whole", "size"])
+    if met:
+        yield pa.RecordBatch.from_arrays([pa.array(last[1]), pa.array(last[2])], ["whole", "size"])
+
+
+def _sets_alike(docs: DataFrame, marked: DataFrame, reps: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """(whole, size, held): the sets of which so many first hashes occur in other sets that one of them can be similar."""
+    first = _hash_rows(docs, id_col, text_col, False)
+    met = first.repartition("h").sortWithinPartitions("h", "whole").mapInArrow(_met, "whole long, size long")
+    enough = F.expr("greatest(1, ((4 * size + 4) div 5) div 10)")
+    some = met.groupBy("whole").agg(F.count(F.lit(1)).alias("shared"), F.max("size").alias("size")).where(F.col("shared") >= enough).select("whole")
+    texts = written(marked.select("whole", "of_text").join(some, "whole", "left_semi").groupBy("whole").agg(F.min("of_text").alias("of_text")), "alike")
+    few = if_small(texts.select("of_text").distinct())
+    found = _keyed(docs, id_col, text_col).join(few, "of_text", "left_semi")
+    sets = written(_hash_rows(found, "id", "text", True), "sets")
+    if sets.count() == texts.count():
+        return sets
+    return written(sets.groupBy("whole").agg(F.first("size").alias("size"), F.first("held").alias("held")), "sets")
+
+
+def _cells(sets: DataFrame) -> DataFrame:
+    """(h, whole, size, shared): cells of sets with a hash in common, such that similar sets share a cell; shared: a set's hashes that others have."""
+    each = sets.select("whole", "size", F.explode("held").alias("h"))
+    each = each.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("df > 1")
+    of = Window.partitionBy("whole")
+    each = each.withColumn("shared", F.count(F.lit(1)).over(of)).where("5 * shared >= 4 * size")
+    each = each.withColumn("place", F.row_number().over(of.orderBy("df", "h"))).where("place <= shared - (4 * size + 4) div 5 + 1")
+    return written(each.select("h", "whole", "size", "shared"), "cells")
+
+
+def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (h, part, whole, size, shared, class) sorted by h and part: pairs (a, b) of a cell that are of two classes and can be similar."""
+
+    def pairs(cell: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
+        _, _, whole, size, shared, of = cell
+        if (of == of[0]).all():
+            return
+        classes, inverse, counts = np.unique(of, return_inverse=True, return_counts=True)
+        order = np.argsort(inverse == counts.argmax(), kind="stable")  # the largest class comes last
+        whole, size, shared, of = whole[order], size[order], shared[order], inverse[order]
+        others = len(of) - int(counts.max())
+        step = max(1, _AT_ONCE // len(of))
+        for at in range(0, others, step):
+            i = np.arange(at, min(others, at + step))
+            hit = (of[i][:, None] != of) & (9 * np.minimum(shared[i][:, None], shared) >= 4 * (size[i][:, None] + size))
+            one, two = np.nonzero(hit)
+            one += at
+            one, two = one[one < two], two[one < two]
+            if len(one):
+                a, b = np.minimum(whole[one], whole[two]), np.maximum(whole[one], whole[two])
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+
+    held: list[list[np.ndarray]] = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        rows = [c.to_numpy(zero_copy_only=False) for c in batch.columns]
+        edges = np.flatnonzero((rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])) + 1
+        for s, e in zip([0, *edges.tolist()], [*edges.tolist(), len(rows[0])], strict=True):
+            new = [x[s:e] for x in rows]
+            if held and (held[0][0][0] != new[0][0] or held[0][1][0] != new[1][0]):
+                yield from pairs([np.concatenate(x) for x in zip(*held, strict=True)])
+                held = []
+            held.append(new)
+    if held:
+        yield from pairs([np.concatenate(x) for x in zip(*held, strict=True)])
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, reps: DataFrame) -> DataFrame:
+    """(a, b): of pairs of sets those with a similarity of 0.8 or more, as the vertices that stand for the sets."""
+    pairs = written(pairs, "pairs")
+    ends = if_small(written(pairs.select("a").union(pairs.select("b")).distinct().withColumnRenamed("a", "whole"), "ends"))
+    some = sets.join(ends, "whole", "left_semi")
+    one = some.select(F.col("whole").alias("a"), F.col("size").alias("size_a"), F.col("held").alias("held_a"))
+    two = some.select(F.col("whole").alias("b"), F.col("size").alias("size_b"), F.col("held").alias("held_b"))
+    both = pairs.join(one, "a").join(two, "b").withColumn("common", F.size(F.array_intersect("held_a", "held_b")))
+    good = written(both.where("9 * common >= 4 * (size_a + size_b)").select(F.col("a").alias("whole_a"), F.col("b").alias("whole_b")), "similar")
+    a, b = reps.select(F.col("whole").alias("whole_a"), F.col("vertex").alias("a")), reps.select(F.col("whole").alias("whole_b"), F.col("vertex").alias("b"))
+    return good.join(a, "whole_a").join(b, "whole_b").select("a", "b")
+
+
+def _similar(docs: DataFrame, marked: DataFrame, points: DataFrame, linked: DataFrame, id_col: str, text_col: str, cell_rows: int) -> DataFrame:
+    """Links (a, b) between vertices of points that, with those in linked, connect all sets with a Jaccard similarity of 0.8 or more.
+
+    Sets of a and b hashes are that similar if 9 times the common ones are 4 (a + b) or more. So 0.8 of the larger set are common, and in any
+    one order of all hashes the first common one is among the first a - 0.8 a + 1 of either set; the first n common ones are among n - 1 more. By
+    this, a few tenths of the hashes, in order of their value, tell which sets can't be similar to any other (most). The rest are ordered by
+    the number of sets that have a hash, rarest first, and meet in cells by hash. A pair is compared only if its sets are of two classes
+    of what is linked so far: first every set with the first and the last of its cell, then all that are still of two classes.
+    """
+    reps = written(points.groupBy("whole").agg(F.min("vertex").alias("vertex")), "reps")
+    same = points.select("vertex", "whole").join(reps.withColumnRenamed("vertex", "b"), "whole").where("vertex <> b").select(F.col("vertex").alias("a"), "b")
+    linked = written(linked.union(same), "linked")
+    sets = _sets_alike(docs, marked, reps, id_col, text_col)
+    cells = _cells(sets)
+    of_cell = Window.partitionBy("h")
+    for stars in (True, False):
+        of = reps.join(components(linked), "vertex", "left").select("whole", F.coalesce("component", "vertex").alias("class"))
+        mixed = cells.join(of.join(cells.select("whole").distinct(), "whole", "left_semi"), "whole")
+        mixed = mixed.withColumn("least", F.min("class").over(of_cell)).withColumn("most", F.max("class").over(of_cell)).where("least <> most")
+        if stars:
+            row = F.struct("whole", "size", "shared", "class")
+            ends = mixed.withColumn("ends", F.array(F.min(row).over(of_cell), F.max(row).over(of_cell)))
+            ends = ends.withColumn("end", F.explode("ends")).where("class <> end.class and 9 * least(shared, end.shared) >= 4 * (size + end.size)")
+            pairs = ends.select(F.least("whole", "end.whole").alias("a"), F.greatest("whole", "end.whole").alias("b"))
+        else:
+            dealt = _in_parts(written(mixed.select("h", "whole", "size", "shared", "class"), "mixed"), ["h"], "whole", cell_rows)
+            dealt = dealt.select("h", "part", "whole", "size", "shared", "class").repartition("h", "part").sortWithinPartitions("h", "part")
+            pairs = dealt.mapInArrow(_crossing, "a long, b long")
+        linked = written(linked.union(_verified(pairs.distinct(), sets, reps)), "linked")
+    return linked
+
+
+def near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, wide: int = WIDE, cell_rows: int = CELL_ROWS) -> DataFrame:
+    """A row for each row of docs: id, of_text, component, kept, as ``near_duplicates`` has them.
+
+    Links are those of similar sets, all of them, and those of both fingerprints (at most distance and wide bits), all of them.
+    """
+    key = ["fp", *_WORDS, "whole"]
     marked = written(sketches(docs, id_col, text_col), "sketches")
     # numbers of rows of a table that is written once
     points = written(marked.groupBy(*key).agg(_first()).withColumn("vertex", F.monotonically_increasing_id()), "points")
-    groups = best_groups(points.count(), DISTANCE, typical=TYPICAL)
-    masks = grids(groups, DISTANCE, partitions_for(groups, DISTANCE, TYPICAL, MISS))
-    linked = links(points, far, masks, cell_rows, _WORDS, wide)
+    linked = written(links(points, distance, (), cell_rows, _WORDS, wide), "linked")
+    linked = _similar(docs, marked, points, linked, id_col, text_col, cell_rows)
     of_key = written(_classes(points, linked).select(*key, "kept"), "classes")
     return marked.join(of_key, key, "left").select("id", "of_text", F.col("kept.id").alias("component"), "kept")
 
@@ -457,6 +655,6 @@ def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str
     return _without(docs, near_duplicates(docs, id_col, text_col, shingle, distance), id_col, text_col)
 
 
-def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", far: int = FAR, wide: int = WIDE) -> DataFrame:
+def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", distance: int = DISTANCE, wide: int = WIDE) -> DataFrame:
     """docs with one row of each component of ``near_copies``: that of the smallest id. Rows with a null id all stay."""
-    return _without(docs, near_copies(docs, id_col, text_col, far, wide), id_col, text_col)
+    return _without(docs, near_copies(docs, id_col, text_col, distance, wide), id_col, text_col)

@@ -244,3 +244,34 @@ def test_query_on_fixture(spark):
     groups = brute_components([r.doc_id for r in rows], fps)
     found = {r.doc_id: (r.fingerprint, r.component_id) for r in QUERIES["op2_simhash"](spark, sf).collect()}
     assert found == {r.doc_id: (f"{f:016x}", groups[r.doc_id]) for r, f in zip(rows, fps)}
+
+
+def test_every_pair_of_similarity_point_eight_is_linked(spark):
+    """Groups of short and long texts around a similarity of 0.8, with a passage that most share: no such pair is missed, no other link made."""
+    rng = random.Random(14)
+    vocabulary, rows = [f"w{i}" for i in range(3000)], [(0, "a b"), (1, "A  b"), (2, "b a"), (3, ""), (4, " "), (5, "x " * 40), (6, "x " * 90)]
+    passage = [rng.choice(vocabulary) for _ in range(30)]
+    for i in range(150):
+        words = [rng.choice(vocabulary) for _ in range(rng.choice([8, 20, 60, 150, 400]))]
+        words = words + passage if i % 2 else words
+        rows.append((len(rows), " ".join(words)))
+        for _ in range(rng.choice([1, 2, 4])):
+            copy, n = list(words), len(words)
+            if rng.random() < 0.5:
+                copy = copy[: n - max(1, rng.randrange(n // 10, n // 5 + 1))]  # cut off at the end
+            else:
+                for at in rng.sample(range(n), max(1, n // rng.choice([40, 50, 60]))):
+                    copy[at] = rng.choice(vocabulary)
+            rows.append((len(rows), " ".join(copy)))
+    rng.shuffle(rows)
+    sk, sets = {i: simhash.sketch(t.encode(), simhash.WordHashes()) for i, t in rows}, {i: shingles(t) if t.split() else set() for i, t in rows}
+    bits = lambda a, b, k: int(np.bitwise_count(sk[a][k] ^ sk[b][k]).sum())
+    pairs = [(a, b) for a in sk for b in sk if a > b]
+    similar = [(a, b) for a, b in pairs if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b])]
+    by_bits = [(a, b) for a, b in pairs if bits(a, b, slice(0, 1)) <= 4 and bits(a, b, slice(1, 5)) <= simhash.WIDE]
+    beyond = [(a, b) for a, b in similar if bits(a, b, slice(0, 1)) > simhash.FAR or bits(a, b, slice(1, 5)) > simhash.WIDE]
+    assert len(similar) > 100 and len(beyond) > 10
+    expected = _parts(len(rows), similar + by_bits)
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    for cell_rows in (simhash.CELL_ROWS, 5):
+        assert {r.id: r.component for r in simhash.near_copies(docs, cell_rows=cell_rows).collect()} == dict(enumerate(expected))
