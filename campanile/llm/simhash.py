@@ -533,34 +533,48 @@ def _sets_alike(docs: DataFrame, marked: DataFrame, reps: DataFrame, id_col: str
     return written(sets.groupBy("whole").agg(F.first("size").alias("size"), F.first("held").alias("held")), "sets")
 
 
+_BEFORE = ("before0", "before1", "before2", "before3")
+
+
 def _cells(sets: DataFrame) -> DataFrame:
-    """(h, whole, size, shared): cells of sets with a hash in common, such that similar sets share a cell; shared: a set's hashes that others have."""
+    """(h, whole, size, rest, before0 ...): cells of sets with a hash in common, such that similar sets share a cell.
+
+    rest: how many of a set's hashes that others have come from h on; before: the hashes of its cells just before h (the set's own where there is none).
+    """
     each = sets.select("whole", "size", F.explode("held").alias("h"))
     each = each.withColumn("df", F.count(F.lit(1)).over(Window.partitionBy("h"))).where("df > 1")
     of = Window.partitionBy("whole")
     each = each.withColumn("shared", F.count(F.lit(1)).over(of)).where("5 * shared >= 4 * size")
     each = each.withColumn("place", F.row_number().over(of.orderBy("df", "h"))).where("place <= shared - (4 * size + 4) div 5 + 1")
-    return written(each.select("h", "whole", "size", "shared"), "cells")
+    before = [F.coalesce(F.lag("h", n + 1).over(of.orderBy("df", "h")), "whole").alias(c) for n, c in enumerate(_BEFORE)]
+    return written(each.select("h", "whole", "size", (F.col("shared") - F.col("place") + 1).alias("rest"), *before), "cells")
 
 
 def _crossing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (h, part, whole, size, shared, class) sorted by h and part: pairs (a, b) of a cell that are of two classes and can be similar."""
+    """Of (h, part, whole, size, rest, class, before ...) sorted by h and part: pairs (a, b) of a cell that are of two classes and can be similar.
+
+    Sets that have one of the hashes before in common meet in its cell too, and are left to that.
+    """
 
     def pairs(cell: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
-        _, _, whole, size, shared, of = cell
+        _, _, whole, size, rest, of, *before = cell
         if (of == of[0]).all():
             return
         classes, inverse, counts = np.unique(of, return_inverse=True, return_counts=True)
         order = np.argsort(inverse == counts.argmax(), kind="stable")  # the largest class comes last
-        whole, size, shared, of = whole[order], size[order], shared[order], inverse[order]
+        whole, size, rest, of, before = whole[order], size[order], rest[order], inverse[order], [x[order] for x in before]
         others = len(of) - int(counts.max())
         step = max(1, _AT_ONCE // len(of))
         for at in range(0, others, step):
             i = np.arange(at, min(others, at + step))
-            hit = (of[i][:, None] != of) & (9 * np.minimum(shared[i][:, None], shared) >= 4 * (size[i][:, None] + size))
+            hit = (of[i][:, None] != of) & (9 * np.minimum(rest[i][:, None], rest) >= 4 * (size[i][:, None] + size))
             one, two = np.nonzero(hit)
             one += at
             one, two = one[one < two], two[one < two]
+            for x in before:
+                for y in before:
+                    new = x[one] != y[two]
+                    one, two = one[new], two[new]
             if len(one):
                 a, b = np.minimum(whole[one], whole[two]), np.maximum(whole[one], whole[two])
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
@@ -600,7 +614,7 @@ def _similar(docs: DataFrame, marked: DataFrame, points: DataFrame, linked: Data
     Sets of a and b hashes are that similar if 9 times the common ones are 4 (a + b) or more. So 0.8 of the larger set are common, and in any
     one order of all hashes the first common one is among the first a - 0.8 a + 1 of either set; the first n common ones are among n - 1 more. By
     this, a few tenths of the hashes, in order of their value, tell which sets can't be similar to any other (most). The rest are ordered by
-    the number of sets that have a hash, rarest first, and meet in cells by hash. A pair is compared only if its sets are of two classes
+    the number of sets that have a hash, rarest first, and meet in cells by hash; at their first common one, what follows must suffice. A pair is compared only if its sets are of two classes
     of what is linked so far: first every set with the first and the last of its cell, then all that are still of two classes.
     """
     reps = written(points.groupBy("whole").agg(F.min("vertex").alias("vertex")), "reps")
@@ -614,13 +628,13 @@ def _similar(docs: DataFrame, marked: DataFrame, points: DataFrame, linked: Data
         mixed = cells.join(of.join(cells.select("whole").distinct(), "whole", "left_semi"), "whole")
         mixed = mixed.withColumn("least", F.min("class").over(of_cell)).withColumn("most", F.max("class").over(of_cell)).where("least <> most")
         if stars:
-            row = F.struct("whole", "size", "shared", "class")
+            row = F.struct("whole", "size", "rest", "class")
             ends = mixed.withColumn("ends", F.array(F.min(row).over(of_cell), F.max(row).over(of_cell)))
-            ends = ends.withColumn("end", F.explode("ends")).where("class <> end.class and 9 * least(shared, end.shared) >= 4 * (size + end.size)")
+            ends = ends.withColumn("end", F.explode("ends")).where("class <> end.class and 9 * least(rest, end.rest) >= 4 * (size + end.size)")
             pairs = ends.select(F.least("whole", "end.whole").alias("a"), F.greatest("whole", "end.whole").alias("b"))
         else:
-            dealt = _in_parts(written(mixed.select("h", "whole", "size", "shared", "class"), "mixed"), ["h"], "whole", cell_rows)
-            dealt = dealt.select("h", "part", "whole", "size", "shared", "class").repartition("h", "part").sortWithinPartitions("h", "part")
+            dealt = _in_parts(written(mixed.select("h", "whole", "size", "rest", "class", *_BEFORE), "mixed"), ["h"], "whole", cell_rows)
+            dealt = dealt.select("h", "part", "whole", "size", "rest", "class", *_BEFORE).repartition("h", "part").sortWithinPartitions("h", "part")
             pairs = dealt.mapInArrow(_crossing, "a long, b long")
         linked = written(linked.union(_verified(pairs.distinct(), sets, reps)), "linked")
     return linked
