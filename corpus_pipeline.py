@@ -35,7 +35,7 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near copies (five-word shingles, similarity 0.8 or more, by fingerprints) the smallest doc_id stays."""
+    """Of each component of near copies (five-word shingles, similarity 0.8 or more, each found) the smallest doc_id stays."""
     return simhash.drop_near_copies(docs)
 
 
